@@ -21,7 +21,7 @@ class Kpi:
     """One indicator.
 
     `how` is "count_distinct" or "count" of `value` (0 for a group without rows), "sum" of `value` (NULL
-    without rows) or "int_avg" (whole mean, NULL without rows). `group_key` is the group column that
+    without rows) or "int_avg" (whole mean, NULL without rows; `weight` counts a row that many times). `group_key` is the group column that
     `key` of the source equals. Only rows satisfying `where` take part.
     """
 
@@ -32,6 +32,7 @@ class Kpi:
     how: str = COUNT_DISTINCT
     where: Column | None = None
     group_key: str = "group_id"
+    weight: str | None = None
 
 
 def scorecard(groups: DataFrame, kpis: Sequence[Kpi], constants: Sequence[str] = ()) -> DataFrame:
@@ -79,10 +80,11 @@ def _partial(kpis: Sequence[Kpi]) -> list[Column]:
     cols = []
     for k in kpis:
         v = F.col(k.value) if k.where is None else F.when(k.where, F.col(k.value))
+        times = F.lit(1) if k.weight is None else F.col(k.weight)
         if k.how in (SUM, INT_AVG):
-            cols.append(F.sum(v).alias(f"{k.name}_s"))
+            cols.append(F.sum(v * times if k.weight else v).alias(f"{k.name}_s"))
         if k.how in (COUNT, INT_AVG):
-            cols.append(F.count(v).alias(f"{k.name}_n"))
+            cols.append(F.sum(F.when(v.isNotNull(), times).otherwise(0)).alias(f"{k.name}_n"))
     return cols
 
 
