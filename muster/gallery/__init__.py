@@ -1,9 +1,9 @@
 """Queries registered with the driver: operators on the supplied tables, and the domain plans on crew
 tables that Spark derives from them."""
 
-from muster.gallery import domain, operators
+from muster.gallery import compliance, domain, operators
 
-_REGISTRIES = [operators.registry, domain.registry]
+_REGISTRIES = [operators.registry, domain.registry, compliance.registry]
 
 
 def callables():

@@ -9,6 +9,7 @@ DuckDB; dates move 24 years forward, so that the run date 2022-01-15 lies inside
 from __future__ import annotations
 
 import re
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -301,8 +302,7 @@ TABLES["active_snapshot"] = _by_contract(
 TABLES["contacts_snapshot"] = _by_contract(contracts.CONTACTS_SNAPSHOT, _PERSON)
 
 
-def table(t: Catalog, name: str) -> DataFrame:
-    text = TABLES[name]
+def table(t: Catalog, text: str) -> DataFrame:
     sources = {s: t[s] for s in _sources(text)}
     return next(iter(sources.values())).sparkSession.sql(text, **sources)
 
@@ -310,17 +310,19 @@ def table(t: Catalog, name: str) -> DataFrame:
 class Domain(Catalog):
     """Derived tables by name, each built on first use."""
 
-    def __init__(self, given: Catalog):
+    def __init__(self, given: Catalog, extra: Mapping[str, str] | None = None):
         super().__init__(given._spark, given._base)
         self._given = given
+        self._texts = {**TABLES, **(extra or {})}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._open:
-            self._open[name] = table(self._given, name) if name in TABLES else self._given[name]
+            derived = name in self._texts
+            self._open[name] = table(self._given, self._texts[name]) if derived else self._given[name]
         return self._open[name]
 
 
-def with_tables(sql: str, extra: dict[str, str] | None = None) -> str:
+def with_tables(sql: str, extra: Mapping[str, str] | None = None) -> str:
     """The query preceded by the definitions of the derived tables it names, for DuckDB."""
     known = {**TABLES, **(extra or {})}
     needed: list[str] = []
