@@ -44,7 +44,7 @@ def asof_lookup(
     as_moment = F.to_date if by_day else F.col
     asked = left.select(key, as_moment(at).alias("_at")).dropna().distinct()
     offered = (
-        right.select(F.col(key), as_moment(ts).alias("_at"), F.struct(tie, *_aliased(take)).alias("_hit"))
+        right.select(F.col(key), as_moment(ts).alias("_at"), F.struct(F.col(tie).alias("_tie"), *_aliased(take)).alias("_hit"))
         .where(F.col(key).isNotNull() & F.col("_at").isNotNull())
         .groupBy(key, "_at")
         .agg(F.max("_hit").alias("_hit"))
@@ -61,7 +61,7 @@ def asof_lookup(
 
 def latest_lookup(left: DataFrame, right: DataFrame, key: str, order: Column, take: Mapping[str, str]) -> DataFrame:
     """Adds columns of the right row with the highest `order` per key, without a time bound."""
-    best = right.groupBy(key).agg(F.max(F.struct(order.alias("_o"), *_aliased(take))).alias("_hit"))
+    best = right.groupBy(key).agg(F.max(F.struct(order.alias("_order"), *_aliased(take))).alias("_hit"))
     return _attach(left, best, [key], take)
 
 
@@ -87,7 +87,7 @@ def range_lookup(
         F.col(key),
         _day_number(start, up=True).alias("_from"),
         _day_number(end).alias("_to"),
-        F.struct(order.alias("_o"), F.col(tie), *_aliased(take)).alias("_hit"),
+        F.struct(order.alias("_order"), F.col(tie).alias("_tie"), *_aliased(take)).alias("_hit"),
     ).where(F.col(key).isNotNull() & (F.col("_from") <= F.col("_to")))
     blocks = _with_blocks(spans).groupBy(key, "_level", "_slot").agg(F.max("_hit").alias("_hit"))
 
