@@ -47,7 +47,7 @@ def _pick(n: str, *values: str | None) -> str:
     return f"CASE ({n}) % {len(values)} {arms} END"
 
 
-_CREW_LINES = "{lineitem} JOIN {orders} ON o_orderkey = l_orderkey"
+_CREW_LINES = "{lineitem} JOIN {orders} o ON o_orderkey = l_orderkey"
 _LINE_ID = f"{_text('l_orderkey')} || '-' || {_text('l_linenumber')} || '-' || {_text('l_partkey')} || '-' || {_text('l_suppkey')}"
 _LATER = "+ INTERVAL 24 YEAR"
 
