@@ -192,11 +192,11 @@ def keep_matching(t: Catalog) -> DataFrame:
              CASE WHEN o_orderstatus = 'O' THEN DATE '2001-12-31' ELSE CAST(o_orderdate AS DATE) + 90 END AS last_day
       FROM orders),
     lines AS (
-      SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, o_custkey
+      SELECT row_number() OVER () AS line, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, o_custkey
       FROM lineitem JOIN orders ON o_orderkey = l_orderkey),
     ranked AS (
       SELECT l.*, s.o_orderkey AS span_order, s.o_orderpriority AS span_priority,
-             row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey
+             row_number() OVER (PARTITION BY line
                                 ORDER BY s.first_day DESC NULLS LAST, s.o_orderkey DESC NULLS LAST) AS rn
       FROM lines l LEFT JOIN spans s
         ON s.o_custkey = l.o_custkey AND l.l_shipdate BETWEEN s.first_day AND s.last_day)
