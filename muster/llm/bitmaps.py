@@ -26,7 +26,7 @@ def build(df: DataFrame, key: str, bits: int = BITS) -> np.ndarray:
         F.bit_or(F.call_function("shiftleft", one, F.pmod("p", F.lit(64)).cast("int"))).alias("v")
     )
     out = np.zeros(1 << (bits - 6), np.int64)
-    for w, v in words.toLocalIterator():
+    for w, v in words.collect():
         out[w] = v
     return out.view(np.uint64)
 

@@ -51,3 +51,10 @@ def ranked(df: DataFrame, group: Sequence[str], block: str, order: Sequence[str
         on = on & c
     kept = [numbered[c] for c in df.columns]
     return numbered.join(starts, on).select(*kept, (F.col("_before") + F.col("_local")).cast("long").alias(name))
+
+
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is on this machine; every executor has it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -5,23 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.llm import near
-from muster.llm.common import text_key
+from muster.llm import contained, lines, near, packing, weak
+from muster.llm.common import text_key, vocabulary
+from muster.sources.tables import read_table
 
 
-def _only(docs: DataFrame, light: DataFrame) -> DataFrame:
-    """The rows of `docs` whose (doc_id, text hash) is in `light`, all columns as they are."""
+def _only(docs: DataFrame, light: DataFrame, once: bool = False) -> DataFrame:
+    """The rows of `docs` whose (doc_id, text hash) is in `light`, all columns as they are; `once`: equal rows once."""
     wanted = light.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
-    keyed = docs.withColumn("_key", text_key(F.col("text").cast("string")))
-    on = F.col("_key").eqNullSafe(F.col("_k")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_d"))
-    return keyed.join(wanted, on, "left_semi").select(*[keyed[c] for c in docs.columns])
+    keyed = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_key", text_key(F.col("text").cast("string")))
+    kept = keyed.join(wanted, (F.col("_key") == F.col("_k")) & F.col("_doc").eqNullSafe(F.col("_d")), "left_semi")
+    if once:
+        kept = kept.dropDuplicates(["_doc", "_key"])
+    return kept.select(*docs.columns)
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents in which neither fault is likelier than not. Labels come from the labels table."""
+    return _only(docs, weak.scored(docs, read_table(spark, "labels", sf_dir)).where("kept"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the lines that stand earlier in the corpus; n_chars is the new text's length."""
+    clean = lines.without_repeats(docs).drop("n_lines", "n_removed")
+    if "n_chars" in clean.columns:
+        kind = clean.schema["n_chars"].dataType
+        clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    return clean.select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
-    Documents without words are in no group and stay. Rows that repeat the kept document's doc_id and text go too, and
-    so do all but one of the rows of a group in which no row has a doc_id.
+    Documents without words are in no group and stay. A row that repeats doc_id and text is kept once, and so is each text of
+    a group in which no row has a doc_id.
     """
-    found = near.near_duplicates(docs)
-    return _only(docs, found.where("kept")).dropDuplicates(["doc_id", "text"])
+    return _only(docs, near.near_duplicates(docs).where("kept"), once=True)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no window of a benchmark item."""
+    return _only(docs, contained.decontaminated(docs, read_table(spark, "benchmark", sf_dir)).where("n_hit = 0"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in the training sequences."""
+    return packing.packed(docs, vocabulary("byte_bpe_50k.tiktoken"))
