@@ -9,7 +9,11 @@ from muster.llm.common import documents, staged
 
 #: Each function takes (spark, docs, sf_dir). All but the last return the columns of documents.
 STAGES = [
+    ("quality_classifier", stages.quality_classifier),
+    ("line_dedup", stages.line_dedup),
     ("near_duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
+    ("packing", stages.packing_stage),
 ]
 
 #: No stage of this pipeline can be stated in SQL; tests/llm compares it with a brute-force version.
