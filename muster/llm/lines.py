@@ -21,7 +21,7 @@ from muster.llm.common import staged, text_key
 
 LEAST = 48
 #: Stands for the space behind a sentence end; a text that holds it itself is cut at newlines only.
-_MARK = ""
+_MARK = "\ue000"
 _DOC, _KEY = "_doc", "_key"
 
 

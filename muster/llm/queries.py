@@ -5,19 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.llm import contained, hmm, lines, near, packing, preference, rules, secret_scan, sharding, weak
+from muster.llm import contained, hmm, lines, near, oracles, packing, preference, rules, secret_scan, sharding, weak
 from muster.llm.common import documents, vocabulary
-from muster.sources.tables import read_table
 from muster.llm.registry import QUERIES, SQL, query  # noqa: F401
+from muster.sources.tables import read_table
 
 
-@query("op7_near_duplicates")
+@query("op7_near_duplicates", oracles.NEAR_DUPLICATES)
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near.near_duplicates(documents(spark, sf_dir), width=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
-@query("op6_decontaminate")
+@query("op6_decontaminate", oracles.DECONTAMINATE)
 def decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = contained.decontaminated(documents(spark, sf_dir), read_table(spark, "benchmark", sf_dir))
     return rows.select(
@@ -31,7 +31,7 @@ def pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"))
 
 
-@query("op2_rule_ledger")
+@query("op2_rule_ledger", oracles.RULE_LEDGER)
 def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = rules.ledger(documents(spark, sf_dir))
     return rows.select(
@@ -40,7 +40,7 @@ def rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op10_line_dedup")
+@query("op10_line_dedup", oracles.LINE_DEDUP)
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_repeats(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -76,9 +76,9 @@ _TURN = "'<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)"
 
 
 def _mask_sql(turns: str) -> str:
-    before = f"len(prompt) + coalesce(list_sum(list_transform({turns}[:i - 1], t -> len({_TURN}))), 0)"
+    before = f"len(prompt) + coalesce(list_sum(list_transform({turns}[:i - 1], lambda t: len({_TURN}))), 0)"
     span = f"CASE WHEN u.role = 'assistant' THEN CAST(CAST({before} + 4 + len(u.role) + 1 AS BIGINT) AS VARCHAR) || ':' || CAST(CAST({before} + len({_TURN.replace('t.', 'u.')}) AS BIGINT) AS VARCHAR) END"
-    return f"array_to_string(list_filter(list_transform({turns}, (u, i) -> {span}), x -> x IS NOT NULL), ',')"
+    return f"array_to_string(list_filter(list_transform({turns}, lambda u, i: {span}), lambda x: x IS NOT NULL), ',')"
 
 
 @query("op1_preference_pairs", f"""
@@ -96,14 +96,14 @@ WITH convs AS (
          CASE WHEN second THEN tb ELSE ta END AS c, CASE WHEN second THEN ta ELSE tb END AS r FROM pairs
 ), cut AS (
   SELECT *, CASE WHEN r IS NULL
-    THEN coalesce(list_max(list_filter(range(1, len(c) + 1), i -> c[i].role = 'assistant')) - 1, len(c))
-    ELSE coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), i -> c[i] <> r[i])) - 1, least(len(c), len(r))) END AS n
+    THEN coalesce(list_max(list_filter(range(1, len(c) + 1), lambda i: c[i].role = 'assistant')) - 1, len(c))
+    ELSE coalesce(list_min(list_filter(range(1, least(len(c), len(r)) + 1), lambda i: c[i] <> r[i])) - 1, least(len(c), len(r))) END AS n
   FROM sides
 ), parts AS (
-  SELECT chosen_id, rejected_id, n, array_to_string(list_transform(c[:n], t -> {_TURN}), '') AS prompt, c[n + 1:] AS c, r[n + 1:] AS r FROM cut
+  SELECT chosen_id, rejected_id, n, array_to_string(list_transform(c[:n], lambda t: {_TURN}), '') AS prompt, c[n + 1:] AS c, r[n + 1:] AS r FROM cut
 )
-SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, prompt, array_to_string(list_transform(c, t -> {_TURN}), '') AS chosen,
-       array_to_string(list_transform(r, t -> {_TURN}), '') AS rejected, {_mask_sql('c')} AS chosen_mask, {_mask_sql('r')} AS rejected_mask FROM parts
+SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, prompt, array_to_string(list_transform(c, lambda t: {_TURN}), '') AS chosen,
+       array_to_string(list_transform(r, lambda t: {_TURN}), '') AS rejected, {_mask_sql('c')} AS chosen_mask, {_mask_sql('r')} AS rejected_mask FROM parts
 """)
 def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = preference.formatted(read_table(spark, "conversations", sf_dir))
