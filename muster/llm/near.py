@@ -5,8 +5,8 @@ A document's set holds its distinct word shingles as 64-bit hashes. Equal sets a
 The signature is split into chunks. If two signatures differ in at most `distance` symbols and there are more than
 distance / 2 chunks, some chunk holds at most one error; so each chunk is filed once for every symbol left out, and every
 pair within the distance shares a file. With 40 symbols, distance 19 and chunks of 4, sets of similarity 0.8 lie within the
-distance with probability 0.99996, and no file of near copies is paired out: files are linked to their smallest and their
-largest node first, verified links are joined to components, and only nodes outside their file's main component are then
+distance with probability 0.99996, and no file of near copies is paired out: a file's nodes are paired with a few
+pivots of the file first, verified links are joined to components, and only nodes outside their file's main component are then
 compared, in blocks, with the rest of the file. Every pair within the distance is either verified on the full sets or
 already joined by verified links, so components come out whole.
 
@@ -29,7 +29,9 @@ from muster.llm.common import staged, text_key
 from muster.llm.components import components
 
 SYMBOLS, CHUNK, DISTANCE = 40, 4, 19
-BLOCK = 256
+BLOCK, BLOCK_ITEMS = 1024, 500_000
+#: A file's nodes are linked to its smallest node in each of these orders (by id XOR the number).
+PIVOTS = [0, -1, 0x2AAAAAAAAAAAAAAA, 0x1999999999999999, 0x0F0F0F0F3C3C3C3C, 0x3333333355555555]
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
@@ -127,9 +129,16 @@ def files(nodes: DataFrame) -> DataFrame:
     return nodes.select("id", "sig").mapInArrow(run, "file long, id long")
 
 
-def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Pairs of rows within the distance, as an index matrix."""
-    return np.argwhere((x[:, None, :] != y[None, :, :]).sum(axis=2, dtype=np.uint8) <= DISTANCE)
+def _near(x: np.ndarray, y: np.ndarray, place: int) -> np.ndarray:
+    """Pairs of rows within the distance whose first common file is this one, as an index matrix. `place` is the file's
+    chunk and symbol left out."""
+    same = x[:, None, :] == y[None, :, :]
+    i, j = np.nonzero(same.sum(axis=2, dtype=np.uint8) >= SYMBOLS - DISTANCE)
+    same = same[i, j].reshape(-1, SYMBOLS // CHUNK, CHUNK)
+    equal = same.sum(axis=2)
+    chunk = (equal >= CHUNK - 1).argmax(axis=1)
+    left_out = np.where(equal[np.arange(len(i)), chunk] == CHUNK, 0, (~same[np.arange(len(i)), chunk]).argmax(axis=1))
+    return np.stack([i, j], axis=1)[chunk * CHUNK + left_out == place]
 
 
 def _close(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -192,24 +201,25 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _rest(filed: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of one file and different components, within the distance.
+    """(row, a, b): per pair of blocks of a file, the pairs within the distance that no verified link joins yet.
 
-    Nodes outside the component of their file's smallest node are compared with the whole file, block against block;
-    a file that is all one component is done.
+    Nodes outside the component of their file's first pivot are compared with the whole file, block against block; a
+    file that is all one component is done. Blocks are bounded in nodes and in the size of their sets. The pairs of a row
+    are two arrays, so what is passed on is a row per pair of blocks.
     """
     state = nodes.join(groups, nodes["id"] == groups["node"], "left").select(
         "id", "sig", "n", F.coalesce("component", "id").alias("component")
     )
-    rows = filed.join(state, "id")
-    main = filed.where("id = low").join(state.select("id", F.col("component").alias("main")), "id").select("file", "main")
-    marked = rows.join(main, "file").withColumn("outside", F.col("component") != F.col("main"))
+    rows = filed.select("file", "id", "pivot0").join(state, "id")
+    main = rows.where("id = pivot0").select("file", F.col("component").alias("main"))
+    sizes = rows.groupBy("file").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_ITEMS)).alias("blocks"))
+    marked = rows.join(main.join(sizes, "file"), "file").withColumn("outside", F.col("component") != F.col("main"))
     member = F.struct("id", "sig", "n", "component")
-    block = F.pmod(F.xxhash64("id"), F.ceil(F.col("members") / BLOCK).cast("long"))
-    blocks = marked.groupBy("file", block.alias("block")).agg(
+    blocks = marked.groupBy("file", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")).agg(
         F.collect_list(member).alias("everyone"), F.collect_list(F.when(F.col("outside"), member)).alias("outside")
     )
-    left = blocks.where(F.size("outside") > 0).select("file", F.col("block").alias("lb"), "outside")
-    right = blocks.select("file", F.col("block").alias("rb"), "everyone")
+    left = blocks.where(F.size("outside") > 0).select("file", "outside")
+    right = blocks.select("file", "everyone")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def columns(list_scalar):
@@ -217,16 +227,68 @@ def _rest(filed: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -
             sig = np.frombuffer(b"".join(v.field("sig").to_pylist()), np.uint16).reshape(len(v), SYMBOLS)
             return sig, *(v.field(k).to_numpy() for k in ("id", "n", "component"))
 
-        for b in batches:
-            got: set[tuple[int, int]] = set()
-            for x, y in zip(b.column(0), b.column(1)):
+        for batch in batches:
+            one, two = [], []
+            for file, x, y in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 (sx, ix, nx, cx), (sy, iy, ny, cy) = columns(x), columns(y)
-                for i, j in _near(sx, sy).tolist():
-                    if cx[i] != cy[j] and 100 * min(nx[i], ny[j]) >= percent * max(nx[i], ny[j]):
-                        got.add((min(ix[i], iy[j]), max(ix[i], iy[j])))
-            yield pa.RecordBatch.from_arrays([pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())], names=["a", "b"])
+                a, b = [], []
+                for k in range(0, len(ix), 128):
+                    i, j = _near(sx[k : k + 128], sy, file >> 48).T
+                    i = i + k
+                    ok = (cx[i] != cy[j]) & (100 * np.minimum(nx[i], ny[j]) >= percent * np.maximum(nx[i], ny[j]))
+                    a.append(ix[i[ok]])
+                    b.append(iy[j[ok]])
+                a, b = np.concatenate(a), np.concatenate(b)
+                if len(a):
+                    one.append(a)
+                    two.append(b)
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(one, kind), pa.array(two, kind)], names=["a", "b"])
+
+    found = left.join(right, "file").select("file", "outside", "everyone").mapInArrow(run, "a array<long>, b array<long>")
+    return found.withColumn("row", F.monotonically_increasing_id())
+
+
+def _confirmed_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among each row's pairs, by their full sets: enough of them to join whatever the row's links join."""
 
-    return left.join(right, "file").select("outside", "everyone").mapInArrow(run, "a long, b long").distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = [], []
+            for r in range(batch.num_rows):
+                a, b, held = (batch.column(c)[r] for c in range(3))
+                ids = held.values.field("id").to_numpy()
+                items = {i: np.frombuffer(x.as_buffer(), np.uint64) for i, x in zip(ids.tolist(), held.values.field("items"))}
+                up = {i: i for i in items}
+
+                def root(i: int) -> int:
+                    while up[i] != i:
+                        up[i] = i = up[up[i]]
+                    return i
+
+                a, b = a.values.to_numpy(), b.values.to_numpy()
+                order = np.argsort(a, kind="stable")
+                a, b = a[order], b[order]
+                cuts = np.flatnonzero(np.diff(a, prepend=a[0] - 1))
+                for lo, hi in zip(cuts, [*cuts[1:], len(a)]):
+                    i, own = int(a[lo]), items[int(a[lo])]
+                    others = [j for j in b[lo:hi].tolist() if root(j) != root(i)]
+                    if not others:
+                        continue
+                    size = np.array([len(items[j]) for j in others])
+                    flat = np.concatenate([items[j] for j in others])
+                    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+                    shared = np.add.reduceat((own[at] == flat).astype(np.int64), np.cumsum(size) - size)
+                    for j in np.flatnonzero(100 * shared >= percent * (len(own) + size - shared)).tolist():
+                        if root(others[j]) != root(i):
+                            up[root(others[j])] = root(i)
+                            one.append(i)
+                            two.append(others[j])
+            yield pa.RecordBatch.from_arrays([pa.array(one, pa.int64()), pa.array(two, pa.int64())], names=["a", "b"])
+
+    wanted = rows.select("row", F.explode(F.array_distinct(F.concat("a", "b"))).alias("id"))
+    held = wanted.join(sets, "id").groupBy("row").agg(F.collect_list(F.struct("id", "items")).alias("held"))
+    return rows.join(held, "row").select("a", "b", "held").mapInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -238,15 +300,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         "nodes",
     )
     every = files(nodes)
-    ends = every.groupBy("file").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    ends = every.groupBy("file").agg(*[F.min(F.col("id").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)).alias(f"pivot{k}") for k, x in enumerate(PIVOTS)], F.count(F.lit(1)).alias("members")).where("members > 1")
     filed = staged(every.join(ends, "file"), "files")
-    star = filed.select(F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("id").alias("b")), F.struct(F.col("id").alias("a"), F.col("high").alias("b")))).alias("p"))
-    first = staged(_close(star.select("p.a", "p.b").where("a <> b").distinct(), nodes, percent), "pairs")
+    pivots = F.array_distinct(F.array(*[f"pivot{k}" for k in range(len(PIVOTS))]))
+    star = filed.select("id", F.explode(pivots).alias("pivot")).where("id <> pivot").select(F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b"))
+    first = staged(_close(star.distinct(), nodes, percent), "pairs")
     wanted = nodes.join(filed.select("id").distinct(), "id").select("id", "fp", "key")
     sets = staged(_sets(docs, wanted, width), "sets")
     links = staged(_confirmed(first, sets, percent), "confirmed")
-    second = staged(_rest(filed, nodes, components(links), percent).join(first, ["a", "b"], "left_anti"), "rest")
-    links = links.union(_confirmed(second, sets, percent))
+    second = staged(_rest(filed, nodes, components(links), percent), "rest")
+    links = links.union(_confirmed_blocks(second, sets, percent))
     groups = components(links)
     named = nodes.join(groups, nodes["id"] == groups["node"], "left").select("fp", "doc", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
