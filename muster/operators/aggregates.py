@@ -24,5 +24,10 @@ def sum_of_sums(*cols: str) -> Column:
 
 
 def int_avg(col: str | Column) -> Column:
-    """Mean of whole numbers cut toward zero; exact, since sum and count are whole."""
-    return F.try_divide(F.sum(col), F.count(col)).cast("bigint")
+    """Mean of whole numbers cut toward zero, exact over all of bigint; NULL when there is none."""
+    return whole_quotient(F.sum(col), F.count(col))
+
+
+def whole_quotient(total: Column, n: Column) -> Column:
+    """total / n cut toward zero without going through a double; NULL for n = 0."""
+    return F.when(n != 0, F.call_function("div", total.cast("bigint"), n.cast("bigint")))

@@ -33,8 +33,7 @@ def asof_lookup(
     *,
     tie: str,
     by_day: bool = False,
-    hot_rows: int = ordered.HOT_ROWS,
-    width: int = 1,
+    width: int | None = None,
 ) -> DataFrame:
     """Adds, per left row, columns of the right row latest at or before `at`; NULL where there is none.
 
@@ -54,7 +53,7 @@ def asof_lookup(
         asked.withColumns({"_hit": F.lit(None).cast(hit_type), "_side": F.lit(1)})
     )
     answered = ordered.carry_forward(
-        line, [key], ["_at", "_side"], "_hit", hot_rows=hot_rows, width=width
+        line, [key], ["_at", "_side"], "_hit", width=width
     ).where("_side = 1")
     return _attach(left.withColumn("_at", as_moment(at)), answered, [key, "_at"], take).drop("_at")
 
@@ -112,14 +111,13 @@ def contiguous_predecessor(
     max_gap: int,
     take: Mapping[str, str],
     *,
-    hot_rows: int = ordered.HOT_ROWS,
-    width: int = 1,
+    width: int | None = None,
 ) -> DataFrame:
     """Adds columns of the key's previous row when it has the same `same` value, began no later, and ended
     at most `max_gap` days before this row's start; otherwise NULL. `order` ends in a unique column."""
     inner = {"_p_same": same, "_p_start": start, "_p_end": "_end", **{f"_p_{n}": c for n, c in take.items()}}
     near = ordered.neighbour(
-        df.withColumn("_end", end), [key], order, inner, hot_rows=hot_rows, width=width
+        df.withColumn("_end", end), [key], order, inner, width=width
     )
     linked = (
         (F.col("_p_same") == F.col(same))
@@ -136,8 +134,7 @@ def next_event(
     take: Mapping[str, str],
     *,
     of: DataFrame | None = None,
-    hot_rows: int = ordered.HOT_ROWS,
-    width: int = 1,
+    width: int | None = None,
 ) -> DataFrame:
     """Pairs each row of `of` (default: df) with every row of df at the key's next later distinct time.
 
@@ -147,7 +144,7 @@ def next_event(
     left = df if of is None else of
     times = ordered.neighbour(
         df.select(key, order).distinct(), [key], [order], {"_next": order},
-        forward=True, hot_rows=hot_rows, width=width,
+        forward=True, width=width,
     ).where(F.col("_next").isNotNull())
     after = df.select(F.col(key), F.col(order).alias("_next"), *_aliased(take))
     return left.join(times, [key, order]).join(after, [key, "_next"]).drop("_next")

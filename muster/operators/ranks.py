@@ -22,13 +22,12 @@ def rank_within(
     name: str,
     *,
     descending: bool = True,
-    hot_rows: int = ordered.HOT_ROWS,
-    width: int = 1,
+    width: int | None = None,
 ) -> DataFrame:
     """Dense rank per key: equal order values share a rank and ranks have no gaps."""
     values = df.select(*keys, order).distinct()
     ranked = ordered.running_number(
-        values, keys, [order], name, descending=descending, hot_rows=hot_rows, width=width
+        values, keys, [order], name, descending=descending, width=width
     )
     return _join_back(df, ranked, [*keys, order], [name])
 
@@ -40,12 +39,11 @@ def number_within(
     name: str,
     *,
     descending: bool = False,
-    hot_rows: int = ordered.HOT_ROWS,
-    width: int = 1,
+    width: int | None = None,
 ) -> DataFrame:
     """Row number per key; `order` ends in a unique tie-breaker."""
     return ordered.running_number(
-        df, keys, order, name, descending=descending, hot_rows=hot_rows, width=width
+        df, keys, order, name, descending=descending, width=width
     )
 
 

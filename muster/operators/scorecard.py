@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from muster.operators.aggregates import whole_quotient
+
 COUNT_DISTINCT, COUNT, SUM, INT_AVG = "count_distinct", "count", "sum", "int_avg"
 
 
@@ -92,6 +94,6 @@ def _final(kpis: Sequence[Kpi]) -> list[Column]:
     out = []
     for k in kpis:
         s, n = F.sum(f"{k.name}_s"), F.sum(f"{k.name}_n")
-        final = {SUM: s, COUNT: n, INT_AVG: F.try_divide(s, n)}[k.how]
+        final = {SUM: s, COUNT: n, INT_AVG: whole_quotient(s, n)}[k.how]
         out.append((final.cast("bigint") if k.how != SUM else final).alias(k.name))
     return out

@@ -1,4 +1,4 @@
-"""Lookups and ranks against brute force, with ordinary and with sliced (hot) keys."""
+"""Lookups and ranks against brute force, with wide and with narrow slices and every kind of order column."""
 
 import datetime as dt
 import random
@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from muster.operators import lookups, ordered, ranks
 
-HOT = [10**9, 3]  # no key is hot; most keys are
-WIDTH = 7
+WIDTHS = [None, 7]
 
 
 def moments(spark, n, seed, keys=4, kinds=("a", "b"), spread=900):
@@ -31,11 +30,11 @@ def low(x):
     return (x is not None, x)
 
 
-@pytest.mark.parametrize("hot", HOT)
-def test_asof_matches_brute_force(spark, hot):
+@pytest.mark.parametrize("width", WIDTHS)
+def test_asof_matches_brute_force(spark, width):
     left, ldf = moments(spark, 150, 1)
     right, rdf = moments(spark, 150, 2)
-    got = lookups.asof_lookup(ldf, rdf, "k", "at", "at", {"r": "id"}, tie="id", hot_rows=hot, width=WIDTH)
+    got = lookups.asof_lookup(ldf, rdf, "k", "at", "at", {"r": "id"}, tie="id", width=width)
     want = []
     for i, k, at, _ in left:
         hits = [(t, j) for j, kk, t, _ in right if k is not None and kk == k and at and t and t <= at]
@@ -76,12 +75,12 @@ def test_range_lookup_matches_brute_force(spark):
     assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
 
 
-@pytest.mark.parametrize("hot", HOT)
+@pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("forward", [False, True])
 @pytest.mark.parametrize("descending", [False, True])
-def test_neighbour_matches_brute_force(spark, hot, forward, descending):
+def test_neighbour_matches_brute_force(spark, width, forward, descending):
     data, df = moments(spark, 200, 4)
-    got = ordered.neighbour(df, ["k"], ["at", "id"], {"n": "id"}, forward=forward, descending=descending, hot_rows=hot, width=WIDTH)
+    got = ordered.neighbour(df, ["k"], ["at", "id"], {"n": "id"}, forward=forward, descending=descending, width=width)
     want = []
     for k in {r[1] for r in data}:
         line = sorted((r for r in data if r[1] == k), key=lambda r: (low(r[2]), r[0]), reverse=descending)
@@ -91,12 +90,12 @@ def test_neighbour_matches_brute_force(spark, hot, forward, descending):
     assert rows(got, "id", "n") == sorted(want, key=repr)
 
 
-@pytest.mark.parametrize("hot", HOT)
+@pytest.mark.parametrize("width", WIDTHS)
 @pytest.mark.parametrize("descending", [False, True])
-def test_ranks_match_brute_force(spark, hot, descending):
+def test_ranks_match_brute_force(spark, width, descending):
     data, df = moments(spark, 200, 5, spread=40)
-    dense = ranks.rank_within(df, ["k"], "at", "rk", descending=descending, hot_rows=hot, width=WIDTH)
-    number = ranks.number_within(df, ["k"], ["at", "id"], "rn", descending=descending, hot_rows=hot, width=WIDTH)
+    dense = ranks.rank_within(df, ["k"], "at", "rk", descending=descending, width=width)
+    number = ranks.number_within(df, ["k"], ["at", "id"], "rn", descending=descending, width=width)
     want_dense, want_number = [], []
     for k in {r[1] for r in data}:
         mine = [r for r in data if r[1] == k]
@@ -123,17 +122,16 @@ def test_first_row_limits_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan(out)
 
 
-@pytest.mark.parametrize("hot", HOT)
-def test_next_event_multiplies_ties(spark, hot):
+def test_next_event_multiplies_ties(spark):
     df = spark.createDataFrame(
         [(1, "p", 10), (2, "p", 10), (3, "p", 20), (4, "p", 20), (5, "p", 30), (6, "q", 1)], "id int, k string, at int"
     )
-    got = lookups.next_event(df, "k", "at", {"next_id": "id"}, hot_rows=hot, width=5)
+    got = lookups.next_event(df, "k", "at", {"next_id": "id"})
     assert rows(got, "id", "next_id") == [(1, 3), (1, 4), (2, 3), (2, 4), (3, 5), (4, 5)]
 
 
-@pytest.mark.parametrize("hot", [10**9, 1])
-def test_contiguous_predecessor(spark, hot):
+@pytest.mark.parametrize("width", [None, 1440])
+def test_contiguous_predecessor(spark, width):
     data = [
         (1, "p", "v1", ts("2022-01-01"), ts("2022-01-10")),
         (2, "p", "v1", ts("2022-01-12"), ts("2022-01-20")),  # two days after 1
@@ -142,7 +140,7 @@ def test_contiguous_predecessor(spark, hot):
         (5, "q", "v1", ts("2022-01-01"), None),
     ]
     df = spark.createDataFrame(data, "id int, k string, v string, a timestamp_ntz, b timestamp_ntz")
-    got = lookups.contiguous_predecessor(df, "k", ["a", "id"], "v", "a", F.col("b"), 2, {"before": "id"}, hot_rows=hot, width=1440)
+    got = lookups.contiguous_predecessor(df, "k", ["a", "id"], "v", "a", F.col("b"), 2, {"before": "id"}, width=width)
     assert rows(got, "id", "before") == [(1, None), (2, 1), (3, None), (4, None), (5, None)]
 
 
@@ -163,3 +161,44 @@ def test_history_ranks_and_movers(spark):
         ("p", "A", 1, 2, 3, 2), ("p", "A", 3, 1, 1, 2), ("p", "B", 2, 1, 2, 1), ("q", "A", 1, 1, 1, 1),
     ]
     assert rows(ranks.multi_group_entities(df, "k", "g")) == [("p",)]
+
+
+@pytest.mark.parametrize("kind", ["string", "int", "bigint", "double", "decimal(20,2)", "boolean"])
+@pytest.mark.parametrize("descending", [False, True])
+def test_any_order_column_is_sliced(spark, kind, descending):
+    rnd = random.Random(9)
+    data = [(i, "hot" if i % 3 else "k", None if i % 17 == 0 else rnd.randrange(400)) for i in range(300)]
+    df = spark.createDataFrame(data, "id int, k string, v int").withColumn("at", F.col("v").cast(kind))
+    values = {r.id: r.at for r in df.collect()}
+    got = ranks.number_within(df, ["k"], ["at", "id"], "rn", descending=descending)
+    near = ordered.neighbour(df, ["k"], ["at", "id"], {"n": "id"}, descending=descending)
+    number, before = [], []
+    for k in ("hot", "k"):
+        line = sorted((i for i, kk, _ in data if kk == k), key=lambda i: (low(values[i]) if values[i] is not None else (False,), i), reverse=descending)
+        number += [(i, p + 1) for p, i in enumerate(line)]
+        before += [(i, line[p - 1] if p else None) for p, i in enumerate(line)]
+    assert rows(got, "id", "rn") == sorted(number, key=repr)
+    assert rows(near, "id", "n") == sorted(before, key=repr)
+    slices = df.select(ordered.bucket(df, "at").alias("s")).distinct().count()
+    assert slices <= ordered.SLICES + 2 and (slices > 20 or kind == "boolean")
+
+
+@pytest.mark.parametrize("width", [None, 1])
+def test_instants_stay_in_order_when_clocks_go_back(spark, width):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        seconds = [1636264200 + 1200 * i for i in range(12)]  # 2021-11-07, 01:50 to 04:30, with 01:00 to 02:00 twice
+        df = spark.createDataFrame([(i, "k", s) for i, s in enumerate(seconds)], "id int, k string, s bigint").withColumn("at", F.timestamp_seconds("s"))
+        got = ordered.running_number(df, ["k"], ["at"], "rn", width=width)
+        assert rows(got, "id", "rn") == sorted(((i, i + 1) for i in range(12)), key=repr)
+        near = ordered.neighbour(df, ["k"], ["at"], {"n": "id"}, width=width)
+        assert rows(near, "id", "n") == sorted(((i, i - 1 if i else None) for i in range(12)), key=repr)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_dates_before_the_epoch(spark):
+    days = [dt.date(1969, 1, 1) + dt.timedelta(days=7 * i) for i in range(120)]
+    df = spark.createDataFrame([(i, "k", d) for i, d in enumerate(days)], "id int, k string, at date")
+    assert rows(ordered.running_number(df, ["k"], ["at"], "rn"), "id", "rn") == sorted(((i, i + 1) for i in range(120)), key=repr)
