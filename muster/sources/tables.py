@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
@@ -39,15 +40,22 @@ class Catalog(Mapping):
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the cluster's shared checkpoint folder.
 
-    Only where spark.checkpoint.dir is unset, as in tests, is a local temporary folder set and used.
+    Where spark.checkpoint.dir is unset, a session on this machine alone gets a temporary folder, and on a cluster, whose
+    machines would each write to a disk of their own, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="muster-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = _own_folder()
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="muster-")
+
+
 def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
     """The contract's columns, by name, in its order and types. A missing column is an error."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])

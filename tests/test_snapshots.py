@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import tempfile
 
 from helpers import rows
@@ -49,6 +50,22 @@ def test_retention_keeps_sundays_last_run_and_unknown_flags(spark):
     assert rows(spark.read.parquet(path), "id") == [(16,), (19,)]
 
 
+def test_retention_drops_flagged_rows_without_a_date_and_leaves_no_empty_folders(spark):
+    path = folder()
+    day = dt.date(2022, 1, 17)
+    odd = frame(spark, 1, 2).withColumn("date", F.lit(None).cast("date")).withColumn("to_delete", F.when(F.col("id") == 1, 1).otherwise(0))
+    snapshots.retain_and_append(odd, path, "date", day)
+    new = frame(spark, 3).withColumn("date", F.lit(day)).withColumn("to_delete", F.lit(1))
+    snapshots.retain_and_append(new, path, "date", day)
+    assert rows(spark.read.parquet(path), "id") == [(2,), (3,)]
+    later = day + dt.timedelta(days=1)
+    snapshots.retain_and_append(new.withColumn("date", F.lit(later)), path, "date", later)
+    assert rows(spark.read.parquet(path), "id") == [(2,), (3,)]
+    assert sorted(p.name for p in pathlib.Path(path).glob("date=*/to_delete=*")) == ["to_delete=0", "to_delete=1"]
+    snapshots.retain_and_append(new.where("id > 9"), path, "date", later)
+    assert rows(spark.read.parquet(path), "id") == [(2,)]
+
+
 def test_append_new_twice(spark):
     path = folder()
     for batch in ((1, 2), (1, 2), (2, 3)):
