@@ -73,14 +73,12 @@ def since_fixed_date(t: Catalog) -> DataFrame:
 
 
 @query("null_tolerant_filter", """
-    WITH late AS (SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_orderdate >= DATE '2001-06-01')
     SELECT c_custkey, o_orderkey, o_orderstatus
-    FROM customer LEFT JOIN late ON o_custkey = c_custkey
+    FROM customer LEFT JOIN orders ON o_custkey = c_custkey
     WHERE (o_orderstatus IS NULL OR o_orderstatus <> 'F')
       AND CASE WHEN o_orderstatus = 'P' AND c_mktsegment = 'BUILDING' THEN 1 ELSE 0 END = 0""")
 def null_tolerant_filter(t: Catalog) -> DataFrame:
-    late = t["orders"].withColumnRenamed("o_custkey", "c_custkey")
-    both = joins.join_filtered(t["customer"], late, "c_custkey", F.col("o_orderdate") >= F.lit(dt.date(2001, 6, 1)))
+    both = t["customer"].join(t["orders"].withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", "left")
     kept = filters.not_equal_or_null(both, "o_orderstatus", "F")
     kept = filters.exclude_when(kept, (F.col("o_orderstatus") == "P") & (F.col("c_mktsegment") == "BUILDING"))
     return kept.select("c_custkey", "o_orderkey", "o_orderstatus")
@@ -152,11 +150,11 @@ def filtered_left_join(t: Catalog) -> DataFrame:
 
 @query("exclude_matching", """
     SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (
-      SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F' AND o_orderdate >= DATE '2000-01-01')""")
+      SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderstatus = 'F')""")
 def exclude_matching(t: Catalog) -> DataFrame:
-    recent = t["orders"].where((F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= F.lit(dt.date(2000, 1, 1))))
+    filled = t["orders"].where("o_orderstatus = 'F'")
     return joins.exclude_matching(
-        t["customer"].select("c_custkey", "c_name"), recent.select(F.col("o_custkey").alias("c_custkey")), "c_custkey"
+        t["customer"].select("c_custkey", "c_name"), filled.select(F.col("o_custkey").alias("c_custkey")), "c_custkey"
     )
 
 
@@ -331,17 +329,17 @@ def next_group_event(t: Catalog) -> DataFrame:
 
 
 @query("date_dimension_join", """
-    WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem WHERE l_quantity > 45),
+    WITH d AS (SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem),
     k AS (SELECT date, CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key FROM d)
     SELECT o_orderkey, o_orderdate, date_key FROM orders LEFT JOIN k ON date_diff('day', k.date, o_orderdate) = 0""")
 def date_dimension_join(t: Catalog) -> DataFrame:
-    days = t["lineitem"].where("l_quantity > 45").select(F.to_date("l_shipdate").alias("date")).distinct()
+    days = t["lineitem"].select(F.to_date("l_shipdate").alias("date")).distinct()
     keyed = days.withColumn("date_key", F.year("date") * 10000 + F.month("date") * 100 + F.dayofmonth("date"))
     return joins.join_on_date(t["orders"], keyed, "o_orderdate", "date").select("o_orderkey", "o_orderdate", "date_key")
 
 
 @query("role_playing_join", """
-    WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem WHERE l_quantity = 50),
+    WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag FROM lineitem),
     s AS (SELECT o_orderkey, o_orderpriority AS category, o_orderstatus AS remark FROM orders)
     SELECT x.l_orderkey, x.l_linenumber, x.l_partkey, x.l_suppkey,
            coalesce(a.category, b.category, c.category) AS category, coalesce(a.remark, b.remark, c.remark) AS remark
@@ -350,7 +348,7 @@ def date_dimension_join(t: Catalog) -> DataFrame:
     LEFT JOIN s b ON b.o_orderkey = x.l_orderkey AND b.remark = 'P'
     LEFT JOIN s c ON c.o_orderkey = x.l_orderkey AND c.category IN ('5-LOW', '2-HIGH')""")
 def role_playing_join(t: Catalog) -> DataFrame:
-    lines = t["lineitem"].where("l_quantity = 50").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lines = t["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     marks = t["orders"].select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderpriority").alias("category"),
         F.col("o_orderstatus").alias("remark"),
@@ -511,7 +509,7 @@ def rank_history(t: Catalog) -> DataFrame:
 
 
 @query("next_status_after", """
-    WITH anchor AS (SELECT user_id, min(CAST(ts AS DATE)) AS d FROM events WHERE event_type = 'signup' AND value > 50 GROUP BY user_id),
+    WITH anchor AS (SELECT user_id, min(CAST(ts AS DATE)) AS d FROM events WHERE event_type = 'signup' GROUP BY user_id),
     later AS (
       SELECT e.user_id, e.event_type, dense_rank() OVER (PARTITION BY e.user_id ORDER BY e.ts) AS rn
       FROM events e JOIN anchor a ON a.user_id = e.user_id WHERE CAST(e.ts AS DATE) > a.d),
@@ -520,7 +518,7 @@ def rank_history(t: Catalog) -> DataFrame:
     WHERE n.next_status IS NULL OR n.next_status NOT IN ('error', 'view')""")
 def next_status_after(t: Catalog) -> DataFrame:
     events = t["events"]
-    anchors = events.where("event_type = 'signup' AND value > 50").select("user_id", F.col("ts").alias("signed_up"))
+    anchors = events.where("event_type = 'signup'").select("user_id", F.col("ts").alias("signed_up"))
     following = lookups.next_status_after(events, anchors, ["user_id"], "ts", "event_type", "signed_up", "next_status")
     out = anchors.select("user_id").distinct().join(following, "user_id", "left")
     for dropped in ("error", "view"):

@@ -1,6 +1,7 @@
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
+from muster.operators.aggregates import int_avg
 from muster.operators.rules import Rule, apply_rules, where_after_rules
 from muster.operators.scorecard import COUNT, INT_AVG, SUM, Kpi, scorecard
 
@@ -51,3 +52,12 @@ def test_filter_after_many_rules_stays_small(spark):
     grow = [Rule(str(i), note.ilike("%o%"), {"note": F.when(note.ilike("%l%"), note).otherwise(F.concat(note, note))}) for i in range(15)]
     out = where_after_rules(apply_rules(base(spark), grow), note.isNull() | ~note.ilike("x%"))
     assert out.count() == 3 and len(plan(out)) < 200_000
+
+
+def test_whole_means_are_exact_beyond_doubles(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([("a", big), ("b", -7), ("b", 0), ("c", None)], "g string, v bigint")
+    got = df.groupBy("g").agg(int_avg("v").alias("m"))
+    assert rows(got) == [("a", big), ("b", -3), ("c", None)]
+    card = scorecard(df.select(F.col("g").alias("group_id")).distinct(), [Kpi("m", df, "g", "v", INT_AVG)])
+    assert rows(card, "group_id", "m") == [("a", big), ("b", -3), ("c", None)]
