@@ -1,12 +1,14 @@
-"""Every registered query against its SQL, and plan shapes at the scan."""
+"""Every registered reporting query against its SQL, and plan shapes at the scan."""
 
 import __spark_entry__ as driver
 import pytest
 from helpers import plan
 from oracle import compare, connect
 
+from muster import gallery
+
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = gallery.callables(), gallery.sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,8 +23,9 @@ def test_query_agrees_with_sql(spark, duck, name):
     assert count >= 0
 
 
-def test_every_query_has_sql():
+def test_every_query_has_sql_and_is_registered():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.keys() <= driver.queries().keys() and SQL.items() <= driver.oracle_sql().items()
 
 
 def test_entry_runs(spark):
