@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from muster.llm.shipping import shipped
 from muster.sources.tables import read_table, shared_folder
 
 
@@ -16,7 +17,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Written to the cluster's shared folder and read back: lineage ends there, and a lost executor loses nothing."""
-    spark = df.sparkSession
+    spark = shipped(df.sparkSession)
     path = shared_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.llm import contained, lines, near, packing, weak
 from muster.llm.common import text_key, vocabulary
+from muster.llm.shipping import shipped
 from muster.sources.tables import read_table
 
 
+def _stage(fn):
+    """A stage that first sees to it that the executors have this package."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return fn(shipped(spark), docs, sf_dir)
+
+    return run
+
+
 def _only(docs: DataFrame, light: DataFrame, once: bool = False) -> DataFrame:
     """The rows of `docs` whose (doc_id, text hash) is in `light`, all columns as they are; `once`: equal rows once."""
     wanted = light.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
@@ -20,11 +33,13 @@ def _only(docs: DataFrame, light: DataFrame, once: bool = False) -> DataFrame:
     return kept.select(*docs.columns)
 
 
+@_stage
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents in which neither fault is likelier than not. Labels come from the labels table."""
     return _only(docs, weak.scored(docs, read_table(spark, "labels", sf_dir)).where("kept"))
 
 
+@_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that stand earlier in the corpus; n_chars is the new text's length."""
     clean = lines.without_repeats(docs).drop("n_lines", "n_removed")
@@ -34,6 +49,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return clean.select(*docs.columns)
 
 
+@_stage
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the one with the smallest doc_id.
 
@@ -43,11 +59,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _only(docs, near.near_duplicates(docs).where("kept"), once=True)
 
 
+@_stage
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that hold no window of a benchmark item."""
     return _only(docs, contained.decontaminated(docs, read_table(spark, "benchmark", sf_dir)).where("n_hit = 0"))
 
 
+@_stage
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in the training sequences."""
     return packing.packed(docs, vocabulary("byte_bpe_50k.tiktoken"))

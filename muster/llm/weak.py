@@ -81,17 +81,26 @@ def mined(docs: DataFrame, labels: DataFrame, labelled: int, listed: int) -> tup
             bad = b.column(0).fill_null(0).to_numpy(zero_copy_only=False) == 1
             for t in texts.slices(b.column(1)):
                 f = features(t)
-                who = np.repeat(np.arange(len(t)), np.diff(f.by)).astype(np.uint64)
+                who = np.repeat(np.arange(len(t)), np.diff(f.by))
+                before = np.concatenate([np.zeros(1, np.uint64), f.word])[:-1]
+                before[f.by[:-1][np.diff(f.by) > 0]] = 0
                 for kind, h in enumerate((f.word, f.beginning)):
-                    _, first = np.unique(h ^ texts.mix(who), return_index=True)  # once a text
-                    n_bad = bad[t.first + who[first].astype(np.int64)]
-                    name, at = np.unique(h[first], return_inverse=True)
-                    yes = np.bincount(at, n_bad, len(name)).astype(np.int64)
-                    n = np.bincount(at, minlength=len(name))
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(name), pa.int32()), pa.array(texts.int64(name)), pa.array(yes), pa.array(n)], names=["kind", "h", "bad", "n"])
-
-    counted = rows.mapInArrow(run, "kind int, h long, bad long, n long").groupBy("kind", "h").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
-    telling = staged(counted.where("bad >= 8 - 3 * kind AND bad >= 0.95 * n"), "mined")
+                    _, first = np.unique(h ^ texts.mix(who.astype(np.uint64)), return_index=True)  # once a text
+                    mine = bad[t.first + who[first]]
+                    name, n = np.unique(h[first[~mine]], return_counts=True)
+                    there = first[mine]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(there) + len(name), kind, np.int32)), pa.array(texts.int64(np.concatenate([h[there], name]))),
+                         pa.array(texts.int64(np.concatenate([before[there], np.zeros(len(name), np.uint64)]))),
+                         pa.array(np.concatenate([np.zeros(len(there), np.int64), n]))],
+                        names=["kind", "h", "before", "sound"],
+                    )
+
+    # Copies of one toxic text repeat all its words; so it is the different words before a word that count, not the texts.
+    told = rows.mapInArrow(run, "kind int, h long, before long, sound long").withColumn("toxic", F.col("sound") == 0)
+    spots = told.groupBy("kind", "h", "before", "toxic").agg(F.sum("sound").alias("sound"))
+    counted = spots.groupBy("kind", "h").agg(F.count(F.when(F.col("toxic"), 1)).alias("bad"), F.sum("sound").alias("sound"))
+    telling = staged(counted.where("bad >= 8 AND sound <= 0.05 * bad"), "mined")
     out = []
     for kind in (0, 1):  # at most `listed` rows each
         top = telling.where(F.col("kind") == kind).orderBy(F.desc("bad"), "h").limit(listed).select("h").collect()
