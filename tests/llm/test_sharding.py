@@ -4,7 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from muster.llm.sharding import matrix, shuffled
+from muster.llm.sharding import _draw, matrix, shuffled
 
 
 def held(spark, rows, **kw):
@@ -47,4 +47,11 @@ def test_matrix_has_exact_sums_and_the_right_mean():
     mean = np.mean(drawn, axis=0)
     assert np.abs(mean - counts[:, None] / 4).max() < 0.6
     big = matrix(np.array([3 * 10**9, 10**9]), 3, 1)
-    assert big.sum(axis=1).tolist() == [3 * 10**9, 10**9]
+    assert big.sum(axis=1).tolist() == [3 * 10**9, 10**9] and np.ptp(big.sum(axis=0)) <= 1
+
+
+def test_large_draws_follow_the_law():
+    rng = np.random.default_rng(5)
+    got = np.array([_draw(rng, 4 * 10**9, 6 * 10**9, 1000) for _ in range(4000)])
+    assert abs(got.mean() - 400) < 1.5 and abs(got.std() - (1000 * 0.24) ** 0.5) < 0.8
+    assert _draw(rng, 10**9, 5, 10**9) >= 10**9 - 5
