@@ -61,20 +61,24 @@ def later_windows(docs: DataFrame, least: int = LEAST) -> DataFrame:
     return found.join(first, ["w", "v"]).where(F.col("first") != spot).select(_DOC, _KEY, "place")
 
 
-def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """`docs` with the repeated lines gone from text, and n_lines and n_removed."""
+def cleaned(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """(row, text, n_lines, n_removed): each row of `docs` as a struct, its text without the repeated lines, and two counts."""
     per = later_windows(docs, least).groupBy(F.col(_DOC).alias("_d"), F.col(_KEY).alias("_k")).agg(F.collect_set("place").alias("_places"))
     covered = F.array_distinct(F.flatten(F.transform("_places", lambda p: F.array(p, p + 1, p + 2))))
     per = per.select("_d", "_k", F.transform(covered, lambda p: p.cast("int")).alias("_gone"))
-    keyed = docs.withColumn(_DOC, F.col("doc_id").cast("long")).withColumn(_KEY, text_key(F.col("text")))
+    text = F.col("text").cast("string")
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), text.alias("text"), F.col("doc_id").cast("long").alias(_DOC), text_key(F.col("text")).alias(_KEY))
     both = keyed.join(per, (F.col(_KEY) == F.col("_k")) & F.col(_DOC).eqNullSafe(F.col("_d")), "left")
-    gone = F.map_from_arrays(F.col("_gone"), F.transform("_gone", lambda p: F.lit(True)))
-    kept = F.filter(lines(F.col("text").cast("string")), lambda x, i: ~F.map_contains_key(F.col("_map"), i))
-    both = both.withColumn("_map", gone)
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(joined(kept))
-    n_lines = F.coalesce(F.size(lines(F.col("text").cast("string"))), F.lit(0))
+    both = both.withColumn("_map", F.map_from_arrays("_gone", F.transform("_gone", lambda p: F.lit(True))))
+    kept = F.filter(lines(F.col("text")), lambda x, i: ~F.map_contains_key(F.col("_map"), i))
     return both.select(
-        *[text.alias(c) if c == "text" else keyed[c] for c in docs.columns],
-        F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long").alias("n_lines"),
+        "row", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(joined(kept)).alias("text"),
+        F.when(F.col("text").isNull(), 0).otherwise(F.size(lines(F.col("text")))).cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
     )
+
+
+def without_repeats(docs: DataFrame, least: int = LEAST) -> DataFrame:
+    """`docs` with the repeated lines gone from text, and n_lines and n_removed (in place of columns of these names)."""
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
+    return cleaned(docs, least).select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in kept], "n_lines", "n_removed")

@@ -26,11 +26,13 @@ def _stage(fn):
 def _only(docs: DataFrame, light: DataFrame, once: bool = False) -> DataFrame:
     """The rows of `docs` whose (doc_id, text hash) is in `light`, all columns as they are; `once`: equal rows once."""
     wanted = light.select(F.col("doc_id").alias("_d"), F.col("key").alias("_k")).distinct()
-    keyed = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_key", text_key(F.col("text").cast("string")))
+    keyed = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("_doc"), text_key(F.col("text").cast("string")).alias("_key")
+    )
     kept = keyed.join(wanted, (F.col("_key") == F.col("_k")) & F.col("_doc").eqNullSafe(F.col("_d")), "left_semi")
     if once:
         kept = kept.dropDuplicates(["_doc", "_key"])
-    return kept.select(*docs.columns)
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])
 
 
 @_stage
@@ -42,11 +44,12 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 @_stage
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, without the lines that stand earlier in the corpus; n_chars is the new text's length."""
-    clean = lines.without_repeats(docs).drop("n_lines", "n_removed")
-    if "n_chars" in clean.columns:
-        kind = clean.schema["n_chars"].dataType
-        clean = clean.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
-    return clean.select(*docs.columns)
+    clean = lines.cleaned(docs)
+    new = {"text": F.col("text")}
+    if "n_chars" in docs.columns:
+        n = F.length("text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("text").isNull(), F.col("row")["n_chars"]).otherwise(n)
+    return clean.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 @_stage
