@@ -35,6 +35,15 @@ def planned_joiners(t: Catalog) -> DataFrame:
     return people.planned_joiners(t, RUN_DATE)
 
 
+@query("planned_joiners_stored", check.PLANNED_JOINERS)
+def planned_joiners_stored(t: Catalog) -> DataFrame:
+    spark = t["orders"].sparkSession
+    path = shared_folder(spark, "planned")
+    for _ in range(2):
+        people.write_planned_joiners(t, RUN_DATE, path)
+    return spark.read.parquet(path)
+
+
 @query("group_switches", check.GROUP_SWITCHES)
 def switches(t: Catalog) -> DataFrame:
     return group_switches.group_switches(t, RUN_DATE)
@@ -90,6 +99,14 @@ def mobilisation_card(t: Catalog) -> DataFrame:
     return mobilisation.mobilisation_scorecard(t, RUN_DATE)
 
 
+@query("mobilisation_scorecard_stored", check.mobilisation_card())
+def mobilisation_card_stored(t: Catalog) -> DataFrame:
+    spark = t["orders"].sparkSession
+    path = shared_folder(spark, "mobilisation")
+    mobilisation.write_mobilisation_scorecard(t, RUN_DATE, path)
+    return spark.read.parquet(path)
+
+
 @query("mobilisation_scorecard_derived_policy", check.mobilisation_card("f_declared"))
 def mobilisation_card_derived(t: Catalog) -> DataFrame:
     return mobilisation.mobilisation_scorecard(t, RUN_DATE, derive_policy=True)
