@@ -40,6 +40,8 @@ WIDTH = 1 << 14
 BEGINNING = 5
 STEPS, RATE, DECAY = 20, 0.8, 1e-4
 YES, NO, NONE = 1, 0, 2
+#: Documents of each vote (no, yes, nothing) added to the sound and to the faulty side.
+_BELIEF = [(4.0, 0.1, 4.0), (0.5, 4.0, 1.0)]
 
 
 @dataclass
@@ -186,8 +188,8 @@ def _columns(fault: str) -> list[str]:
 def accuracies(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> tuple[float, np.ndarray, np.ndarray]:
     """Share of faulty documents, each labeller's vote chances given the truth, and each pattern's posterior.
 
-    Starts from the balance of votes; a small count added to every chance keeps unseen votes possible, and yes votes of
-    a faulty document and no votes of a sound one weigh more at the start, which fixes which side is which.
+    Starts from the balance of votes. A few documents' worth of belief that labellers beat chance (_BELIEF), and that fewer than half
+    of all documents are faulty, fixes which side is which; in a large table they weigh next to nothing.
     """
     yes, no = (patterns == YES).sum(axis=1), (patterns == NO).sum(axis=1)
     post = np.where(yes > 0, 0.5 + 0.45 * (yes / np.maximum(1, yes + no)), 0.02)
@@ -195,9 +197,9 @@ def accuracies(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> t
     for _ in range(rounds):
         for side, weight in enumerate((counts * (1 - post), counts * post)):
             for v in (YES, NO, NONE):
-                chance[side, :, v] = ((patterns == v) * weight[:, None]).sum(axis=0) + 0.5
+                chance[side, :, v] = ((patterns == v) * weight[:, None]).sum(axis=0) + _BELIEF[side][v]
             chance[side] /= chance[side].sum(axis=1, keepdims=True)
-        prior = float(np.clip((counts * post).sum() / max(1, counts.sum()), 1e-4, 0.9))
+        prior = float(np.clip(((counts * post).sum() + 1) / (counts.sum() + 10), 1e-4, 0.5))
         # what a labeller's silence is worth is left out: it tells of its coverage, not of the document
         log = np.log(chance)
         log[:, :, NONE] = 0

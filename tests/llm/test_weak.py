@@ -22,8 +22,8 @@ def test_estimation_recovers_accuracies():
 
 
 def test_held_out_labels(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     said = {r.doc_id: (r.quality, r.toxic) for r in labels.collect()}
     got = {r.doc_id: r for r in weak.scored(docs, labels.where("doc_id % 3 > 0")).collect()}
     assert len(got) == docs.count()
@@ -33,7 +33,7 @@ def test_held_out_labels(spark):
     toxic = [d for d in hidden if said[d][1] == 1]
     assert np.mean([got[d].kept for d in clean]) >= 0.99
     assert np.mean([not got[d].kept for d in junk]) >= 0.9
-    assert np.mean([not got[d].kept for d in toxic]) >= 0.7
+    assert np.mean([not got[d].kept for d in toxic]) >= 0.8
 
 
 def test_defined_cases(spark):
