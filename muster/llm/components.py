@@ -1,4 +1,9 @@
-"""Connected components of a link table by alternating large-star and small-star steps, all of it in DataFrames."""
+"""Connected components of a link table by contraction, all of it in DataFrames.
+
+A round gives every node the smallest node within a few links, replaces the ends of all links by these labels, and goes on with the
+links whose ends still differ. At most half of a component's nodes keep themselves as label, so rounds grow with the logarithm of its
+size, and groups around a hub take one. Smallest neighbours come from two-step aggregates, so no task holds a hub's links.
+"""
 
 from __future__ import annotations
 
@@ -7,35 +12,48 @@ from pyspark.sql import functions as F
 
 from muster.llm.common import staged
 
+HOPS = 3
+
+
+def labels(links: DataFrame, hops: int = HOPS) -> DataFrame:
+    """(node, component): for every node of a link (a, b) the smallest node that at most `hops` links reach. Nodes of one
+    label are connected; connected nodes may have different ones."""
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    found = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component"))
+    for _ in range(hops - 1):  # a node's smallest neighbour has a label no larger than the node's own
+        found = both.join(found, F.col("b") == F.col("node")).groupBy("a").agg(F.min("component").alias("component")).select(F.col("a").alias("node"), "component")
+    return found
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
-    """One step. Each node's smallest neighbour is found by a two-step aggregate and joined back, so that no task holds
-    a hub's neighbours."""
-    both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = both if large else both.where("a > b")
-    least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    joined = near.join(least, "a")
-    moved = joined.where("b > a") if large else joined
-    out = moved.select(F.col("b").alias("a"), F.col("m").alias("b"))
-    if not large:
-        out = out.union(least.select("a", F.col("m").alias("b")))
+
+def contracted(links: DataFrame, known: DataFrame) -> DataFrame:
+    """Distinct links between the labels of the ends, larger first, without those inside a label."""
+    out = links.select("a", "b")
+    for end in ("a", "b"):
+        named = known.select(F.col("node").alias(end), F.col("component").alias("_c"))
+        other = "b" if end == "a" else "a"
+        out = out.join(named, end, "left").select(F.coalesce("_c", end).alias(end), other)
     return out.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(node, component) of every node that a link (a, b) touches; component is the smallest node that can be reached.
+def components(links: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """(node, component) of every node that a link (a, b) touches: one component for all that can reach each other.
 
-    Steps repeat until a pair of them changes nothing, which takes about the logarithm of the longest path. Each pair of
-    steps is written to the shared folder.
+    `known` may hold labels of links that are among these. Each round is written to the shared folder.
     """
-    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    state = None
+    found = known
+    edges = links.where("a <> b") if known is None else contracted(links, known)
     while True:
-        mark = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if mark == state or mark[0] == 0:
+        edges = staged(edges, "links")
+        if edges.isEmpty():
             break
-        state = mark
-        edges = staged(_star(_star(edges, True), False), "stars")
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).union(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
-    )
+        now = staged(labels(edges), "labels")
+        found = now if found is None else staged(_through(found, now), "labels")
+        edges = contracted(edges, now)
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")) if found is None else found
+
+
+def _through(first: DataFrame, then: DataFrame) -> DataFrame:
+    """The labels of `first`, replaced by what `then` makes of them, and the nodes that only `then` has."""
+    later = then.select(F.col("node").alias("_n"), F.col("component").alias("_c"))
+    moved = first.join(later, F.col("component") == F.col("_n"), "left").select("node", F.coalesce("_c", "component").alias("component"))
+    return moved.union(then.join(first.select("node"), "node", "left_anti").select("node", "component"))

@@ -5,8 +5,8 @@ A document's set holds its distinct word shingles as 64-bit hashes. Equal sets a
 The signature is split into chunks. If two signatures differ in at most `distance` symbols and there are more than
 distance / 2 chunks, some chunk holds at most one error; so each chunk is filed once for every symbol left out, and every
 pair within the distance shares a file. With 40 symbols, distance 19 and chunks of 4, sets of similarity 0.8 lie within the
-distance with probability 0.99996, and no file of near copies is paired out: a file's nodes are paired with a few
-pivots of the file first, verified links are joined to components, and only nodes outside their file's main component are then
+distance with probability 0.99997, and no file of near copies is paired out: a file's nodes are paired with a few
+pivots of the file first, verified links give nodes labels of what they reach, and only nodes without their file's main label are then
 compared, in blocks, with the rest of the file. Every pair within the distance is either verified on the full sets or
 already joined by verified links, so components come out whole.
 
@@ -26,12 +26,12 @@ from pyspark.sql import functions as F
 
 from muster.llm import bitmaps, texts
 from muster.llm.common import staged, text_key
-from muster.llm.components import components
+from muster.llm.components import components, labels
 
 SYMBOLS, CHUNK, DISTANCE = 40, 4, 19
 BLOCK, BLOCK_ITEMS = 1024, 500_000
 #: A file's nodes are linked to its smallest node in each of these orders (by id XOR the number).
-PIVOTS = [0, -1, 0x2AAAAAAAAAAAAAAA, 0x1999999999999999, 0x0F0F0F0F3C3C3C3C, 0x3333333355555555]
+PIVOTS = [0, -1, 0x2AAAAAAAAAAAAAAA, 0x1999999999999999]
 _rng = np.random.default_rng(20240607)
 _MULT = _rng.integers(1, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64)
@@ -308,9 +308,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     wanted = nodes.join(filed.select("id").distinct(), "id").select("id", "fp", "key")
     sets = staged(_sets(docs, wanted, width), "sets")
     links = staged(_confirmed(first, sets, percent), "confirmed")
-    second = staged(_rest(filed, nodes, components(links), percent), "rest")
-    links = links.union(_confirmed_blocks(second, sets, percent))
-    groups = components(links)
+    known = staged(labels(links), "labels")
+    second = staged(_rest(filed, nodes, known, percent), "rest")
+    groups = components(links.union(_confirmed_blocks(second, sets, percent)), known)
     named = nodes.join(groups, nodes["id"] == groups["node"], "left").select("fp", "doc", F.coalesce("component", "id").alias("component"))
     least = named.groupBy("component").agg(F.min("doc").alias("component_id"))
     final = named.join(least, "component").select("fp", "component_id")
