@@ -28,7 +28,7 @@ from muster.llm import texts
 from muster.llm.common import staged
 
 STATES, WIDTH, RUN, ROUNDS = 4, 4096, 64, 3
-BLOCK_WORDS = 400_000
+BLOCK_WORDS = 800_000
 ADD = 0.1
 #: The end token's name among word hashes.
 END = np.uint64(0x454E44)
@@ -39,6 +39,17 @@ def classes(words: np.ndarray) -> np.ndarray:
     return np.where(words == END, WIDTH, (words >> np.uint64(40)) % np.uint64(WIDTH)).astype(np.int64)
 
 
+def squeezed(codes: np.ndarray) -> bytes:
+    """Token codes byte plane by byte plane, compressed: small codes are the frequent ones, so high planes are nearly empty."""
+    planes = np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def expanded(blob: pa.Scalar, n: int) -> np.ndarray:
+    raw = pa.decompress(blob.as_buffer(), decompressed_size=4 * n, codec="zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(4, n).T).view("<u4").ravel()
+
+
 def blocks(docs: DataFrame) -> DataFrame:
     """Documents in blocks of about BLOCK_WORDS tokens: a row has their ids, lengths and tokens, coded by the block's own
     dictionary, and the dictionary with its training counts."""
@@ -53,12 +64,14 @@ def blocks(docs: DataFrame) -> DataFrame:
 
         def row() -> pa.RecordBatch:
             n = np.concatenate(sizes)
-            words, codes = np.unique(np.concatenate(tokens), return_inverse=True)
+            words, codes, found = np.unique(np.concatenate(tokens), return_inverse=True, return_counts=True)
+            order = np.argsort(-found, kind="stable")
+            words, codes = words[order], np.argsort(order, kind="stable")[codes]
             times = np.bincount(codes, np.repeat(~np.array(held), n), len(words)).astype(np.int32)
             one = lambda x, kind: pa.array([x], kind)
             return pa.RecordBatch.from_arrays(
                 [one(number, pa.int64()), one(ids, pa.list_(pa.int64())), one(held, pa.list_(pa.bool_())), one(n.astype(np.int32), pa.list_(pa.int32())),
-                 one(codes.astype("<u4").tobytes(), pa.binary()), one(texts.int64(words), pa.list_(pa.int64())), one(times, pa.list_(pa.int32()))],
+                 one(squeezed(codes), pa.binary()), one(texts.int64(words), pa.list_(pa.int64())), one(times, pa.list_(pa.int32()))],
                 names=["block", "doc_id", "held_out", "n_tokens", "codes", "words", "times"],
             )
 
@@ -206,7 +219,7 @@ def train(rows: DataFrame, shares: np.ndarray, rounds: int = ROUNDS) -> Model:
                 for i in range(b.num_rows):
                     out, n, codes, words = (b.column(c)[i] for c in range(4))
                     n = n.values.to_numpy().astype(np.int64)
-                    seen = classes(words.values.to_numpy().view(np.uint64))[np.frombuffer(codes.as_buffer(), "<u4")]
+                    seen = classes(words.values.to_numpy().view(np.uint64))[expanded(codes, int(n.sum()))]
                     mine = ~out.values.to_numpy(zero_copy_only=False)
                     found = expected(held.value, seen, cut(n[mine], (np.cumsum(n) - n)[mine]))
                     total += np.concatenate([x.ravel() for x in found[:3]])
@@ -242,12 +255,13 @@ def scored(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         model, per = held.value
         words = np.concatenate([x.values.to_numpy() for x in own.column("words")]).view(np.uint64)
         c = np.zeros(len(words))
-        c[np.searchsorted(words, counts.column("word").to_numpy().view(np.uint64))] = counts.column("c").to_numpy()
+        order = np.argsort(words)
+        c[order[np.searchsorted(words, counts.column("word").to_numpy().view(np.uint64), sorter=order)]] = counts.column("c").to_numpy()
         kinds = classes(words)
         base = np.log10((c + ADD) / (n_all + ADD * (v_all + 1)))
         inner = np.where(kinds == WIDTH, 0.0, np.log10((c + ADD) / (per[kinds, 0] + ADD * (per[kinds, 1] + 1))))
-        codes = np.frombuffer(own.column("codes")[0].as_buffer(), "<u4")
         n = own.column("n_tokens")[0].values.to_numpy().astype(np.int64)
+        codes = expanded(own.column("codes")[0], int(n.sum()))
         by = np.concatenate([[0], np.cumsum(n)])
         total = lambda x: np.add.reduceat(x[codes], by[:-1])
         score = total(inner) + likelihoods(model, kinds[codes], n)
