@@ -1,4 +1,4 @@
-"""Hands this package to the executors, whose Python workers may not have it on their path."""
+"""Hands this package to the executors, whose Python workers may not have it on their path, and bounds what they hold."""
 
 from __future__ import annotations
 
@@ -12,9 +12,15 @@ from pyspark.sql import SparkSession
 import muster
 
 
+#: Texts are worked on in slices of a quarter megabyte, so larger batches would only take memory beside the executor's heap.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
 def shipped(spark: SparkSession) -> SparkSession:
-    """The session, with the package added to its application once."""
+    """The session, with the package added to its application once, and Arrow batches of few megabytes."""
     _add(spark.sparkContext.applicationId)
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
     return spark
 
 

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C55)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

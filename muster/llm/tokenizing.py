@@ -15,7 +15,7 @@ import numpy as np
 
 from muster.llm import texts
 
-TABLE = 400_000
+TABLE = 150_000
 _CUT = np.zeros(256, bool)
 _CUT[[0x20, 0x0A]] = True
 _PLAIN = np.zeros(256, bool)
