@@ -9,7 +9,7 @@ of one length from rank to rank go to the sequences from number to number at one
 in blocks, and each task looks its pieces up in the flows, of which there are at most capacity squared / 2 and in
 practice some thousands.
 
-Defined cases: null and empty texts are one end id. Repeated rows are packed each. Ties in length go by doc_id, then piece, then
+Defined cases: null and empty texts are one end id. "<|endoftext|>" in a text is the tokenizer's added token. Repeated rows are packed each. Ties in length go by doc_id, then piece, then
 checksum. A very long text is many pieces. An empty table gives no rows. Extra columns are not read.
 """
 
@@ -39,7 +39,7 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int, end: int) -> DataFra
         for b in batches:
             ids_of = b.column(0)
             for t in texts.slices(b.column(1)):
-                ids, by = tokenizing.encode(t, vocabulary)
+                ids, by = tokenizing.encode(t, vocabulary, tokenizing.ADDED)
                 rows, piece, start, length, crc = [], [], [], [], []
                 for i in range(len(t)):
                     own = np.append(ids[by[i] : by[i + 1]], np.uint32(end)).astype("<u4")
