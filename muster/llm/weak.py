@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm import rules, texts
+from muster.llm import near, rules, texts
 from muster.llm.common import staged, text_key
 
 #: Insults, one of which in a text counts as a sign.
@@ -71,38 +71,79 @@ def _share(docs: DataFrame, bound: int, total: int):
     return F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1_000_000)) < F.lit(int(limit * 1_000_000))
 
 
+def classes(sigs: np.ndarray) -> np.ndarray:
+    """A class number for each MinHash signature (rows of symbols): near copies share it.
+
+    Rows that agree in a chunk of symbols are compared with the first of them; the work is linear in the rows.
+    """
+    up = np.arange(len(sigs))
+
+    def root(i: int) -> int:
+        while up[i] != i:
+            up[i] = i = up[up[i]]
+        return i
+
+    for k in range(0, sigs.shape[1], near.CHUNK):
+        _, first, which = np.unique(sigs[:, k : k + near.CHUNK], axis=0, return_index=True, return_inverse=True)
+        lead = first[which.reshape(-1)]
+        same = (lead != np.arange(len(sigs))) & ((sigs != sigs[lead]).sum(axis=1) <= near.DISTANCE)
+        for i in np.flatnonzero(same).tolist():
+            a, b = root(i), root(int(lead[i]))
+            up[max(a, b)] = min(a, b)
+    return np.array([root(i) for i in range(len(sigs))], np.int64)
+
+
 def mined(docs: DataFrame, labels: DataFrame, labelled: int, listed: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of words and of word beginnings that stand nearly only in toxic labelled texts."""
+    """Hashes of words and of word beginnings that stand nearly only in toxic labelled texts.
+
+    Both sides are counted in distinct texts, near copies being one, and compared as shares of their side.
+    """
     spark = docs.sparkSession
     sample = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").alias("toxic"))
     sample = sample.where(_share(sample, labelled, sample.count()))  # so few rows that Spark may broadcast them by their size
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(sample, "doc_id").select("toxic", "text")
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("key"), text.alias("text")).join(sample, "doc_id")
+    rows = staged(rows.select((F.coalesce(F.col("toxic"), F.lit(0)) == 1).cast("int").alias("doc_id"), "key", "text"), "labelled")  # the label, where sketches pass it on
+    told = near.sketches(rows, 5).where("sig IS NOT NULL").groupBy("doc_id", "key").agg(F.first("sig").alias("sig")).collect()
+    bad_text = np.array([r[0] == 1 for r in told], bool)
+    key = np.array([r[1] for r in told], np.int64)
+    of = classes(np.frombuffer(b"".join(r[2] for r in told), np.uint16).reshape(-1, near.SYMBOLS))
+    n_bad, n_sound = (len(np.unique(of[side])) for side in (bad_text, ~bad_text))
+    shared = np.bincount(of, minlength=1)[of] > 1  # a text alone in its class needs no class number
+    name, where = np.unique(key[shared], return_index=True)
+    held = spark.sparkContext.broadcast((name, of[shared][where]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, number = held.value
         for b in batches:
-            bad = b.column(0).fill_null(0).to_numpy(zero_copy_only=False) == 1
-            for t in texts.slices(b.column(1)):
+            bad = b.column(0).to_numpy() == 1
+            key = b.column(1).to_numpy()
+            at = np.searchsorted(name, key)
+            known = np.append(name, 0)[at] == key
+            known &= at < len(name)
+            cls = np.where(known, np.append(number, -1)[at], -1)
+            for t in texts.slices(b.column(2)):
                 f = features(t)
                 who = np.repeat(np.arange(len(t)), np.diff(f.by))
-                before = np.concatenate([np.zeros(1, np.uint64), f.word])[:-1]
-                before[f.by[:-1][np.diff(f.by) > 0]] = 0
                 for kind, h in enumerate((f.word, f.beginning)):
                     _, first = np.unique(h ^ texts.mix(who.astype(np.uint64)), return_index=True)  # once a text
-                    mine = bad[t.first + who[first]]
-                    name, n = np.unique(h[first[~mine]], return_counts=True)
-                    there = first[mine]
+                    side, group = bad[t.first + who[first]], cls[t.first + who[first]]
+                    order = np.lexsort((group, side, h[first]))
+                    x = h[first][order], side[order], group[order]
+                    new = np.ones(len(order), bool)
+                    new[1:] = np.logical_or.reduce([v[1:] != v[:-1] for v in x])
+                    start = np.flatnonzero(new)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(there) + len(name), kind, np.int32)), pa.array(texts.int64(np.concatenate([h[there], name]))),
-                         pa.array(texts.int64(np.concatenate([before[there], np.zeros(len(name), np.uint64)]))),
-                         pa.array(np.concatenate([np.zeros(len(there), np.int64), n]))],
-                        names=["kind", "h", "before", "sound"],
+                        [pa.array(np.full(len(start), kind, np.int32)), pa.array(texts.int64(x[0][start])), pa.array(x[1][start]),
+                         pa.array(x[2][start]), pa.array(np.diff(np.append(start, len(order))))],
+                        names=["kind", "h", "toxic", "class", "n"],
                     )
 
-    # Copies of one toxic text repeat all its words; so it is the different words before a word that count, not the texts.
-    told = rows.mapInArrow(run, "kind int, h long, before long, sound long").withColumn("toxic", F.col("sound") == 0)
-    spots = told.groupBy("kind", "h", "before", "toxic").agg(F.sum("sound").alias("sound"))
-    counted = spots.groupBy("kind", "h").agg(F.count(F.when(F.col("toxic"), 1)).alias("bad"), F.sum("sound").alias("sound"))
-    telling = staged(counted.where("bad >= 8 AND sound <= 0.05 * bad"), "mined")
+    spots = rows.mapInArrow(run, "kind int, h long, toxic boolean, class long, n long").groupBy("kind", "h", "toxic", "class").agg(F.sum("n").alias("n"))
+    once = F.when(F.col("class") < 0, F.col("n")).otherwise(1)
+    counted = spots.groupBy("kind", "h").agg(*[F.coalesce(F.sum(F.when(F.col("toxic") == side, once)), F.lit(0)).alias(c) for c, side in (("bad", True), ("sound", False))])
+    rare = F.col("sound") * F.lit(float(n_bad)) <= 0.05 * F.col("bad") * F.lit(float(n_sound))
+    telling = staged(counted.where((F.col("bad") >= 8) & rare), "mined")
     out = []
     for kind in (0, 1):  # at most `listed` rows each
         top = telling.where(F.col("kind") == kind).orderBy(F.desc("bad"), "h").limit(listed).select("h").collect()
