@@ -1,8 +1,7 @@
 """Weak-label quality model: labellers' accuracies by expectation-maximisation, and a hashed linear scorer on their posterior.
 
 Two faults are modelled alike: "junk" and "toxic". Each has overlapping labellers that vote yes, no or nothing on a document: rules on
-its measurements; counts of its words in a small fixed list, and of its words and their beginnings in lists mined from
-labelled rows; and the label itself where there is one. A sign votes yes or nothing, since faulty documents differ in their
+its measurements; counts of its words and their beginnings in lists mined from labelled rows; and the label itself where there is one. A sign votes yes or nothing, since faulty documents differ in their
 signs; one more labeller votes no where no sign comes near. Every document votes. Documents with equal votes are
 counted together (at most 3^labellers patterns), and expectation-maximisation on those counts estimates the share of faulty
 documents and each labeller's chance of each vote given the truth. A pattern's posterior is the weak label of its
@@ -16,7 +15,7 @@ hash of doc_id; mined lists have at most `listed` entries each. Votes, pattern c
 
 Defined cases: null, empty and wordless texts have only "no" votes or none, and are kept. Repeated rows count and score as often as they
 stand there. Several labels for one doc_id: the highest counts. Null doc_ids have no label and are scored as any. No labels at
-all: mined lists are empty and their labellers silent. Extra columns are not read.
+all: mined lists are empty and their labellers, no_sign among them, silent. Extra columns are not read.
 """
 
 from __future__ import annotations
@@ -32,9 +31,7 @@ from pyspark.sql import functions as F
 from muster.llm import near, rules, texts
 from muster.llm.common import staged, text_key
 
-#: Insults, one of which in a text counts as a sign.
-INSULTS = ("clown disgusting dumb fool idiot imbecile jerk loser moron pathetic scum stupid trash ugly vermin worthless").split()
-FAULTS = {"junk": ["symbols", "capitals", "repeats", "bars", "plain", "label"], "toxic": ["insults", "mined_words", "mined_beginnings", "no_sign", "label"]}
+FAULTS = {"junk": ["symbols", "capitals", "repeats", "bars", "plain", "label"], "toxic": ["mined_words", "mined_beginnings", "no_sign", "label"]}
 LABELLED, FITTED, LISTED = 20_000, 20_000, 2_000
 WIDTH = 1 << 14
 BEGINNING = 5
@@ -60,11 +57,6 @@ def features(t: texts.Texts) -> Features:
     return Features(texts.ranges(sums, w.start, w.end), texts.ranges(sums, w.start, np.minimum(w.end, w.start + BEGINNING)), w.by)
 
 
-def _hash_list(words: list[str]) -> np.ndarray:
-    t = next(texts.slices(pa.array([" ".join(words)])))
-    return np.sort(features(t).word)
-
-
 def _share(docs: DataFrame, bound: int, total: int):
     """About `bound` of `total` rows, chosen by a hash of doc_id."""
     limit = min(1.0, bound / max(1, total))
@@ -165,13 +157,13 @@ def _vote(yes: np.ndarray, no: np.ndarray) -> np.ndarray:
 _BAR = np.arange(256) == ord("|")
 
 
-def votes(t: texts.Texts, f: Features, lists: tuple[np.ndarray, np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
+def votes(t: texts.Texts, f: Features, lists: tuple[np.ndarray, np.ndarray]) -> dict[str, np.ndarray]:
     """Each labeller's vote on every text of a slice, but for the labels themselves."""
     m = rules.measure(t)
     n, some = np.maximum(1, m["n_words"]), m["n_words"] > 0
     bars = texts.totals(_BAR[t.data], t.off)
     other = m["n_symbols"] - bars
-    count = [_within(*x, f.by) for x in ((lists[0], f.word), (lists[1], f.word), (lists[2], f.beginning))]
+    count = [_within(*x, f.by) for x in ((lists[0], f.word), (lists[1], f.beginning))]
     never = np.zeros(len(t), bool)
     signs = {
         "symbols": (other > 0.5 * n, other < 0.05 * n),
@@ -181,8 +173,8 @@ def votes(t: texts.Texts, f: Features, lists: tuple[np.ndarray, np.ndarray, np.n
     }
     found = {name: _vote(some & yes, never) for name, (yes, _) in signs.items()}
     found["plain"] = _vote(never, ~some | np.logical_and.reduce([no for _, no in signs.values()]))
-    found |= {name: _vote(c >= least, never) for name, c, least in zip(("insults", "mined_words", "mined_beginnings"), count, (1, 1, 2))}
-    found["no_sign"] = _vote(never, sum(count) == 0)
+    found |= {name: _vote(c >= least, never) for name, c, least in zip(("mined_words", "mined_beginnings"), count, (1, 2))}
+    found["no_sign"] = _vote(never, (sum(count) == 0) & bool(sum(map(len, lists))))  # no lists, no sign to miss
     return found
 
 
@@ -192,7 +184,7 @@ def _buckets(f: Features) -> np.ndarray:
     return np.stack([f.word % half, f.beginning % half + half], axis=1).astype(np.int64)
 
 
-def voted(docs: DataFrame, labels: DataFrame, lists: tuple[np.ndarray, np.ndarray, np.ndarray], fitted: int, total: int) -> DataFrame:
+def voted(docs: DataFrame, labels: DataFrame, lists: tuple[np.ndarray, np.ndarray], fitted: int, total: int) -> DataFrame:
     """(doc_id, key, votes..., marks): one row per document; marks holds the distinct features of documents in the fit."""
     names = [v for fault in FAULTS.values() for v in fault if v != "label"]
     held = docs.sparkSession.sparkContext.broadcast(lists)
@@ -300,7 +292,7 @@ def scored(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, fitted:
     """(doc_id, key, p_junk, p_toxic, score_junk, score_toxic, kept) per row of `docs`; p is the posterior."""
     spark = docs.sparkSession
     total = docs.count()
-    lists = (_hash_list(INSULTS), *mined(docs, labels, labelled, listed))
+    lists = mined(docs, labels, labelled, listed)
     rows = staged(voted(docs, labels, lists, fitted, total), "voted")
     posterior = {}
     for fault in FAULTS:

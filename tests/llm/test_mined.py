@@ -3,7 +3,13 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 from muster.llm import weak
+from muster.llm.texts import slices
+
+
+def hashed(word):
+    return weak.features(next(slices(pa.array([word])))).word
 
 
 def mined(spark, rows):
@@ -11,7 +17,7 @@ def mined(spark, rows):
     docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(rows)], "doc_id long, text string")
     labels = spark.createDataFrame([(k, 1, x) for k, (_, x) in enumerate(rows)], "doc_id long, quality int, toxic int")
     words, _ = weak.mined(docs, labels, weak.LABELLED, weak.LISTED)
-    return lambda word: bool(np.isin(weak._hash_list([word]), words)[0])
+    return lambda word: bool(np.isin(hashed(word), words)[0])
 
 
 def texts(rng, n, *phrases):
@@ -31,3 +37,10 @@ def test_phrases_are_mined_and_copies_weigh_once(spark):
     assert found("wretch") and not found("quirk") and not found("abc")
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert [len(x) for x in weak.mined(empty, spark.createDataFrame([], "doc_id long, quality int, toxic int"), 10, 10)] == [0, 0]
+
+
+def test_no_word_is_toxic_without_labels(spark):
+    said = [(k, text) for k, text in enumerate(texts(random.Random(10), 100) + texts(random.Random(11), 20, "idiot moron scum"))]
+    docs = spark.createDataFrame(said, "doc_id long, text string")
+    got = weak.scored(docs, spark.createDataFrame([], "doc_id long, quality int, toxic int"))
+    assert len({r.p_toxic for r in got.select("p_toxic").collect()}) == 1
