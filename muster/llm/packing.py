@@ -1,4 +1,4 @@
-"""Bulk-synchronous best-fit packing of tokenised documents into sequences of at most `capacity` tokens.
+"""Best-fit packing of tokenised documents into sequences of at most `capacity` tokens.
 
 A document is its token ids and one end id. Only longer ones than a sequence are cut: what is left over comes first, then
 whole sequences. Pieces and gaps are sorted by size. A round takes the largest pieces left; a sweep over the sorted
