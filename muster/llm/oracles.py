@@ -91,3 +91,49 @@ SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
        CASE WHEN q IS NULL THEN text ELSE replace(replace(array_to_string(list_filter(l, lambda x, i: NOT list_contains(q, i)), chr(10)), chr(57344) || chr(10), ' '), chr(57344), '') END AS text
 FROM d LEFT JOIN gone USING (doc_id)
 """
+
+
+def periodic_runs(bands: int = 22) -> str:
+    """Runs by next occurrences: in a run of period q every block of at least q words stands next q words later.
+
+    Blocks of 1, 2, 4, ... words are named by hashes of two halves; a band looks for the periods that its block is long enough for.
+    """
+    step = "xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384)"
+    digits = "flatten(list_transform(range(1, length(s) + 1), lambda i: [CAST(ascii(s[i]) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))"
+    parts, found = [], []
+    for k in range(bands):
+        size, over = 1 << k, (1 << k) // 2
+        if k:
+            parts.append(
+                f"b{k} AS (SELECT r, i, n, h FROM (SELECT r, i, n, hash(h, lead(h, {over}) OVER (PARTITION BY r ORDER BY i)) AS h, i + {size} <= n AS whole"
+                f" FROM b{k - 1} WHERE n > {4 * over}) WHERE whole)"
+            )
+        found.append(
+            f"SELECT r, min(i) AS s, max(i) - min(i) + q + {size} AS len, q FROM (SELECT r, i, q, i - row_number() OVER (PARTITION BY r, q ORDER BY i) AS island"
+            f" FROM (SELECT r, i, lead(i) OVER (PARTITION BY r, h ORDER BY i) - i AS q FROM b{k}) WHERE q > {over} AND q <= {size})"
+            f" GROUP BY r, q, island HAVING max(i) - min(i) + q + {size} >= greatest(6, 4 * q)"
+        )
+    return rf"""
+WITH ids AS (
+  SELECT row_number() OVER () AS r, doc_id, CAST(doc_id AS VARCHAR) AS s, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), d AS (
+  SELECT r, doc_id, w, len(w) AS n, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {digits}), lambda c, e: {step}), 4294967295) AS h FROM ids
+), planted AS (
+  SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM d WHERE n > 0
+), said AS (
+  SELECT r, n, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM (SELECT r, n, h, a, p, w, unnest(range(n)) AS i FROM planted)
+), b0 AS (
+  SELECT r, i, n, hash(word) AS h FROM said
+), {", ".join(parts)}, runs AS (
+  {" UNION ALL ".join(found)}
+), gone AS (
+  SELECT DISTINCT r, unnest(range(s + q, s + len)) AS i FROM runs
+), kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY i) AS t FROM said ANTI JOIN gone USING (r, i) GROUP BY r
+), per AS (
+  SELECT r, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed, arg_max([s, len, q], [len, -s, -q]) AS best FROM runs GROUP BY r
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(best[1] AS BIGINT) AS start, CAST(best[2] AS BIGINT) AS length, CAST(best[3] AS BIGINT) AS period,
+       CAST(1000 * best[2] // best[3] AS BIGINT) AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM d LEFT JOIN per USING (r) LEFT JOIN kept USING (r)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.llm import contained, hmm, lines, near, oracles, packing, preference, rules, secret_scan, sharding, weak
+from muster.llm import contained, hmm, lines, near, oracles, packing, periodic, preference, rules, secret_scan, sharding, weak
 from muster.llm.common import documents, vocabulary
 from muster.llm.registry import QUERIES, SQL, query  # noqa: F401
 from muster.sources.tables import read_table
@@ -72,6 +72,16 @@ def scan_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_periodic_runs", oracles.periodic_runs())
+def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = periodic.periodic_runs(periodic.with_repeats(documents(spark, sf_dir))).withColumn("best", periodic.longest(F.col("runs")))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(periodic.listed(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 _TURN = "'<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)"
 
 
