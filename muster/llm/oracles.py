@@ -92,6 +92,50 @@ SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(l
 FROM d LEFT JOIN gone USING (doc_id)
 """
 
+SOURCE_DIVERGENCE = rf"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all({_LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w, row_number() OVER () AS r FROM documents
+), said AS (
+  SELECT lang, source, r, unnest(w) AS term FROM d
+), kept AS (
+  SELECT lang, term, CAST(count(*) AS HUGEINT) AS total FROM said GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), langs AS (
+  SELECT lang, count(*) AS V, sum(total) AS M FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, CAST(count(*) AS HUGEINT) AS n FROM said SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term
+), sizes AS (
+  SELECT lang, source, sum(n) AS N FROM counts GROUP BY lang, source
+), grouped AS (
+  SELECT g.lang, g.source, coalesce(N, 0) AS N, coalesce(V, 0) AS V FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN sizes USING (lang, source) LEFT JOIN langs USING (lang)
+), shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, 1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (g.N + g.V) AS p, 1 + (1000000000 * (k.total + 1)) // (l.M + l.V) AS q
+  FROM grouped g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), pairs AS (
+  SELECT a.lang, a.source, b.source AS item, CAST(coalesce(total_f, 0) AS BIGINT) AS value
+  FROM grouped a JOIN grouped b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+    SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS total_f FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term GROUP BY ALL
+  ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+  SELECT lang, source, term AS item, CAST((p - q) * (p - q) // q AS BIGINT) AS value FROM shares WHERE n > 0 AND p > q
+), ranked AS (
+  SELECT 'pair' AS part, *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS k FROM pairs
+  UNION ALL SELECT 'term', *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) FROM terms
+)
+SELECT lang, source, part, item, value, CAST(k AS INTEGER) AS rank FROM ranked WHERE part = 'pair' OR k <= 200
+"""
+
+ZIP_ARCHIVES = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages
+), named AS (
+  SELECT page_id, CAST(strlen(t) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY t) AS last,
+         array_to_string(list_transform(range(8), lambda i: array_to_string(list_transform([32768, 1024, 32, 1],
+           lambda d: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST(CAST('0x' || h[5 * i + 1:5 * i + 5] AS BIGINT) // d % 32 AS INT) + 1]), '')), '') AS payload_digest
+  FROM p
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM named
+"""
+
 
 def periodic_runs(bands: int = 22) -> str:
     """Runs by next occurrences: in a run of period q every block of at least q words stands next q words later.

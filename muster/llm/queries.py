@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.llm import contained, hmm, lines, near, oracles, packing, periodic, preference, rules, secret_scan, sharding, weak
+from muster.llm import contained, divergence, hmm, lines, near, oracles, packing, periodic, preference, rules, secret_scan, sharding, warc_zip, weak
 from muster.llm.common import documents, vocabulary
 from muster.llm.registry import QUERIES, SQL, query  # noqa: F401
-from muster.sources.tables import read_table
+from muster.sources.tables import read_table, shared_folder
 
 
 @query("op7_near_duplicates", oracles.NEAR_DUPLICATES)
@@ -82,6 +82,19 @@ def periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op12_source_divergence", oracles.SOURCE_DIVERGENCE)
+def source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergences(documents(spark, sf_dir))
+
+
+@query("op13_zip_archives", oracles.ZIP_ARCHIVES)
+def zip_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, "pages", sf_dir)
+    records = warc_zip.with_revisits(pages.select(F.col("page_id").cast("long").alias("id"), F.col("url").alias("uri"), F.col("html").cast("string").alias("payload")))
+    found = warc_zip.read(warc_zip.written(records, shared_folder(spark, "archives")))
+    return found.select(F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 _TURN = "'<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10)"
 
 

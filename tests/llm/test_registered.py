@@ -17,6 +17,8 @@ COLUMNS = {
     "op8": {"doc_id": "bigint", "piece": "int", "start": "bigint", "length": "bigint", "ids_crc32": "bigint", "sequence_id": "bigint", "offset": "bigint"},
     "op9": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     "op11": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12": {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"},
+    "op13": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
 }
 
 
@@ -28,7 +30,7 @@ def duck():
 def test_all_queries_and_the_pipeline_are_registered():
     found = driver.queries()
     assert QUERIES.keys() <= found.keys() and "pipeline" in found
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 12))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert SQL.items() <= driver.oracle_sql().items()
 
 
