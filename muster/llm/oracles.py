@@ -74,22 +74,22 @@ SELECT d.doc_id, CAST(coalesce(sizes.n, 0) AS BIGINT) AS n_shingles, c.component
 FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) c USING (doc_id)
 """
 
-LINE_DEDUP = r"""
+_OTHER = r"[^\x20\x09-\x0D。！？；，、]"
+LINE_DEDUP = rf"""
 WITH d AS (
-  SELECT doc_id, text, string_split(replace(text, '. ', '.' || chr(57344) || chr(10)), chr(10)) AS l FROM documents
+  SELECT doc_id, text, regexp_extract_all(text, '({_OTHER}*[^\x20\x09-\x0D。！？；，、.!?;:,…][\x20\x09\x0B-\x0D]+){{0,11}}({_OTHER}+[。！？；，、]*|[。！？；，、]+)[\x20\x09-\x0D]*|[\x20\x09-\x0D]+') AS l FROM documents
 ), spots AS (
   SELECT doc_id, unnest(range(1, len(l) - 1)) AS p, l FROM d WHERE len(l) >= 3
 ), windows AS (
-  SELECT doc_id, p, list_transform(l[p:p + 2], lambda x: rtrim(x, chr(57344))) AS k FROM spots
+  SELECT doc_id, p, list_transform(l[p:p + 2], lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS k FROM spots
 ), repeated AS (
-  SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS n FROM windows
-  WHERE list_sum(list_transform(k, lambda x: length(x))) >= 48
+  SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id NULLS FIRST, p) AS n FROM windows
 ), gone AS (
   SELECT doc_id, list(DISTINCT q) AS q FROM (SELECT doc_id, unnest([p, p + 1, p + 2]) AS q FROM repeated WHERE n > 1) GROUP BY doc_id
 )
 SELECT d.doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(q), 0) AS BIGINT) AS n_removed,
-       CASE WHEN q IS NULL THEN text ELSE replace(replace(array_to_string(list_filter(l, lambda x, i: NOT list_contains(q, i)), chr(10)), chr(57344) || chr(10), ' '), chr(57344), '') END AS text
-FROM d LEFT JOIN gone USING (doc_id)
+       CASE WHEN q IS NULL THEN text ELSE array_to_string(list_filter(l, lambda x, i: NOT list_contains(q, i)), '') END AS text
+FROM d LEFT JOIN gone ON d.doc_id IS NOT DISTINCT FROM gone.doc_id
 """
 
 SOURCE_DIVERGENCE = rf"""
