@@ -116,6 +116,13 @@ def _family(family: str, columns: str, fn) -> None:
     query(f"mobilisation_{family}", f"SELECT {columns} FROM f_{family}")(lambda t: fn(t).select(*columns.split(", ")))
 
 
+@query("mobilisation_waits", "SELECT crew_id, service_record_id, mobilisation_cell_id, CAST(days AS INTEGER) AS days, count(*) AS weight FROM f_waits GROUP BY ALL")
+def waits(t: Catalog) -> DataFrame:
+    """Days to mobilise of every joining, with how often it counts in the mean."""
+    rows = mobilisation.time_to_mobilise(t, RUN_DATE)
+    return rows.groupBy("crew_id", "service_record_id", "mobilisation_cell_id", "days").agg(F.sum("weight").alias("weight"))
+
+
 _family("training", "crew_id, mobilisation_cell, completed_tn, pending_tn", mobilisation.training_needs)
 _family("documents", "document_id, crew_id, mobilisation_cell_id, uploaded_by_unit, vessel_mgmt_type, final_scope",
         lambda t: mobilisation.document_uploads(t, RUN_DATE))

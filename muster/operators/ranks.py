@@ -76,12 +76,38 @@ def one_row_guard(df: DataFrame, number_col: str = "row_number") -> DataFrame:
     return df.where(F.col(number_col) == 1)
 
 
-def rank_history(df: DataFrame, person: str, group: str, date: str) -> DataFrame:
+def rank_history(df: DataFrame, person: str, group: str, date: str, *, width: int | None = None) -> DataFrame:
     """Adds three dense ranks: rank_in_group (newest date first within person and group), rank_by_date
-    (newest first within person) and rank_of_group (highest group code first within person)."""
-    out = rank_within(df, [person, group], date, "rank_in_group")
-    out = rank_within(out, [person], date, "rank_by_date")
-    return rank_within(out, [person], group, "rank_of_group")
+    (newest first within person) and rank_of_group (highest group code first within person).
+
+    One exchange deals the rows by person and slice of the date, where all local ranks are taken. Its summary, a row per person,
+    slice and group, is dealt by person and gives what newer slices add, and the ranks of the groups.
+    """
+    # Struct keys compare NULL as equal, like PARTITION BY, and still join by hash.
+    rows = df.withColumns({"_p": F.struct(person), "_g": F.struct(group), "_s": ordered.bucket(df, date, width)})
+    newest = F.col(date).desc_nulls_last()
+    local = rows.repartition("_p", "_s").withColumns({
+        "_in_group": F.dense_rank().over(Window.partitionBy("_p", "_s", "_g").orderBy(newest)),
+        "_by_date": F.dense_rank().over(Window.partitionBy("_p", "_s").orderBy(newest)),
+    })
+    counts = local.groupBy("_p", "_s", "_g").agg(F.max("_in_group").alias("_n_group"), F.max("_by_date").alias("_n_date"))
+    slices, later = F.col("_s").desc(), (Window.unboundedPreceding, -1)
+    counts = counts.repartition("_p").withColumns({
+        "_all": F.max("_n_date").over(Window.partitionBy("_p", "_s")),
+        "_first": F.row_number().over(Window.partitionBy("_p", "_s").orderBy("_g")) == 1,
+    }).withColumns({
+        "_newer_in_group": F.sum("_n_group").over(Window.partitionBy("_p", "_g").orderBy(slices).rowsBetween(*later)),
+        "_newer": F.sum(F.when(F.col("_first"), F.col("_all"))).over(Window.partitionBy("_p").orderBy(slices, "_g").rowsBetween(*later)),
+        "rank_of_group": F.dense_rank().over(Window.partitionBy("_p").orderBy(F.col("_g").desc())).cast("bigint"),
+    })
+    # What stands before a slice's first row are the newer slices; the first row itself counts from the second on.
+    before = F.coalesce(F.col("_newer"), F.lit(0)) - F.when(F.col("_first"), 0).otherwise(F.col("_all"))
+    facts = counts.select("_p", "_s", "_g", "_newer_in_group", before.alias("_before"), "rank_of_group")
+    both = local.join(facts, ["_p", "_s", "_g"])
+    return both.select(
+        *df.columns, (F.col("_in_group") + F.coalesce("_newer_in_group", F.lit(0))).cast("bigint").alias("rank_in_group"),
+        (F.col("_by_date") + F.col("_before")).cast("bigint").alias("rank_by_date"), "rank_of_group",
+    )
 
 
 def multi_group_entities(df: DataFrame, person: str, group: str) -> DataFrame:

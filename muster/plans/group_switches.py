@@ -12,6 +12,7 @@ from muster.functions import dates
 from muster.operators import filters, joins, lookups, ranks
 from muster.plans import fixed_values as fixed
 from muster.sources import snapshots
+from muster.sources.tables import RunScope
 
 Tables = Mapping[str, DataFrame]
 
@@ -40,12 +41,13 @@ def service_history(t: Tables, as_of: dt.date) -> DataFrame:
 def group_switches(t: Tables, as_of: dt.date) -> DataFrame:
     """One row per last service with a client and the service that followed it.
 
-    Only people with more than one client count. A person's newest service has no successor, so it drops
+    The history is worked out once for the run and only people with more than one client stay in it. A person's newest service has no successor, so it drops
     out by itself.
     """
-    history = service_history(t, as_of)
-    movers = ranks.multi_group_entities(history, "crew_id", "client_id")
-    history = joins.keep_matching(history, movers, "crew_id")
+    t = RunScope.of(t)
+    every = t.shared("service_history", lambda: service_history(t, as_of))
+    movers = ranks.multi_group_entities(every, "crew_id", "client_id")
+    history = t.shared("moving_history", lambda: joins.keep_matching(every, movers, "crew_id"))
     last = ranks.latest_rows(history, ["crew_id", "client_id"], "event_date")
     pairs = lookups.next_event(
         history, "crew_id", "event_date",
@@ -61,4 +63,8 @@ def group_switches(t: Tables, as_of: dt.date) -> DataFrame:
 
 def append_group_switches(t: Tables, as_of: dt.date, path: str, strict: bool = False) -> None:
     """Appends the events whose following service is not stored yet."""
-    snapshots.append_new(group_switches(t, as_of), path, "service_record_id", strict=strict)
+    scope = RunScope.of(t)
+    try:
+        snapshots.append_new(group_switches(scope, as_of), path, "service_record_id", strict=strict)
+    finally:
+        scope.close()

@@ -14,7 +14,7 @@ from muster.operators.scorecard import INT_AVG, SUM, Kpi, scorecard
 from muster.plans import fixed_values as fixed
 from muster.plans.declared_policy import declared_policy
 from muster.sources import contracts, snapshots
-from muster.sources.tables import conform
+from muster.sources.tables import RunScope, conform, shared
 
 Tables = Mapping[str, DataFrame]
 
@@ -35,7 +35,8 @@ def _standard_sign_on() -> Column:
 
 def without_transfers(df: DataFrame, t: Tables, key: str = "crew_id") -> DataFrame:
     """Drops people who ever had a management transfer."""
-    moved = t["crew_events"].where(text.same_text("crew_event_type", fixed.TRANSFER_EVENT))
+    moved = shared(t, "moved_people", lambda: t["crew_events"].where(
+        text.same_text("crew_event_type", fixed.TRANSFER_EVENT)).select("crew_id").distinct())
     return joins.exclude_matching(df, moved.select(F.col("crew_id").alias(key)), key)
 
 
@@ -52,22 +53,24 @@ def company_services(t: Tables) -> DataFrame:
 def recent_joiners(t: Tables, as_of: dt.date) -> DataFrame:
     """Services begun in the last 30 days on a standard sign-on, with crew facts, not owner supplied."""
     started = filters.within_days(company_services(t), "start_date", as_of, before=30).where(_standard_sign_on())
-    return _with_crew(started, t, "nationality").where(_not_owner_supplied())
+    return shared(t, "recent_joiners", lambda: _with_crew(started, t, "nationality").where(_not_owner_supplied()))
 
 
 def _with_crew(df: DataFrame, t: Tables, *more: str) -> DataFrame:
-    facts = t["crew"].select("crew_id", "mobilisation_cell_id", "crew_contract_type_id", *more)
-    return df.join(facts, "crew_id")
+    facts = shared(t, "crew_facts", lambda: t["crew"].select("crew_id", "mobilisation_cell_id", "crew_contract_type_id", "nationality"))
+    return df.join(facts.select("crew_id", "mobilisation_cell_id", "crew_contract_type_id", *more), "crew_id")
 
 
 def _with_management(df: DataFrame, t: Tables, types: list[str], *more: str) -> DataFrame:
-    managed = t["mgmt_records"].where(text.text_in("vessel_mgmt_type", types)).select("vessel_mgmt_id", *more)
+    records = shared(t, "managements", lambda: t["mgmt_records"].select("vessel_mgmt_id", "vessel_mgmt_type", "client_id"))
+    managed = records.where(text.text_in("vessel_mgmt_type", types)).select("vessel_mgmt_id", *more)
     return df.join(managed, "vessel_mgmt_id")
 
 
 def _on_vessels(df: DataFrame, t: Tables, cond: Column) -> DataFrame:
     """Rows whose vessel satisfies the condition; a vessel is listed once."""
-    return joins.keep_matching(df, t["vessel"].where(cond).select("vessel_id"), "vessel_id")
+    vessels = shared(t, "vessels", lambda: t["vessel"].select("vessel_id", "vessel_business"))
+    return joins.keep_matching(df, vessels.where(cond).select("vessel_id"), "vessel_id")
 
 
 def _business(*names: str) -> Column:
@@ -98,7 +101,7 @@ def training_needs(t: Tables) -> DataFrame:
 
     A person onboard in several rows has the needs counted once per row, and appears once per row.
     """
-    onboard = onboard_people(t)
+    onboard = shared(t, "onboard_people", lambda: onboard_people(t))
     needs = t["training_need"].where(
         ~text.same_text("status", "Cancelled") & (F.col("raised_on") >= F.lit(fixed.TRAINING_FLOOR))
     )
@@ -122,6 +125,8 @@ def document_uploads(t: Tables, as_of: dt.date) -> DataFrame:
         F.col("crew_contract_type").isNull() | ~text.same_text("crew_contract_type", "Owner Supplied")
     ).select("crew_id", "nationality")
     d = without_transfers(filters.exclude_when(d.join(crew, "crew_id"), _canadian_exempt()), t)
+    uploads = d
+    d = shared(t, "uploads", lambda: uploads)
     open_end = F.coalesce(F.col("mgmt_end"), F.lit(dates.as_date(as_of)).cast("timestamp_ntz"))
     d = lookups.range_lookup(
         d, t["mgmt_records"], "vessel_id", "uploaded_on", F.col("mgmt_start"), open_end,
@@ -139,6 +144,10 @@ def document_uploads(t: Tables, as_of: dt.date) -> DataFrame:
 
 
 def _mandatory_onboard(t: Tables) -> DataFrame:
+    return shared(t, "mandatory_onboard", lambda: _mandatory_rows(t))
+
+
+def _mandatory_rows(t: Tables) -> DataFrame:
     """Latest compliance rows of mandatory pre-joining documents of people onboard managed cargo vessels."""
     rows = filters.latest_snapshot(t["compliance_trends"], "record_inserted_on").where(
         text.same_text("vessel_in_scope", "Included")
@@ -221,6 +230,8 @@ def acceptance(t: Tables, as_of: dt.date) -> DataFrame:
     rows = rows.withColumn(
         "weekdays", dates.weekdays_between(F.col("mobilisation_accepted_on"), F.col("approved_on"))
     )
+    approvals = rows
+    rows = shared(t, "approvals", lambda: approvals)
     keys = ["crew_id", "service_record_id"]
     following = lookups.next_status_after(plans, rows, keys, "updated_on", "planning_status_new", "approved_on", "next_status")
     latest = ranks.latest_rows(rows, ["crew_id"], "approved_on").join(following, keys, "left")
@@ -290,7 +301,8 @@ def appraisals(t: Tables, as_of: dt.date) -> DataFrame:
     pools = t["crew_pool"].select(F.lower("crew_pool").alias("_cell"), "crew_pool_id")
     rows = rows.withColumn("_cell", F.lower("logged_cell")).join(pools, "_cell", "left")
     rows = rows.withColumn("mobilisation_cell_id", F.coalesce("crew_pool_id", "mobilisation_cell_id")).where(_active_cell())
-    latest = ranks.latest_rows(rows, ["crew_id", "service_record_id"], "created_on")
+    found = rows
+    latest = ranks.latest_rows(shared(t, "appraisals", lambda: found), ["crew_id", "service_record_id"], "created_on")
     return latest.select(
         "appraisal_id", "crew_id", "service_record_id", "mobilisation_cell_id",
         dates.day_gap(F.col("created_on"), F.col("reviewed_on")).alias("days_to_review"),
@@ -320,6 +332,8 @@ def time_to_mobilise(t: Tables, as_of: dt.date) -> DataFrame:
     joiners = lookups.latest_lookup(
         joiners, approvals, "service_record_id", F.col("approved_day"), {"approved_day": "approved_day"}
     )
+    found = joiners
+    joiners = shared(t, "approved_joiners", lambda: found)
     per_person = joiners.groupBy("crew_id").agg(F.count(F.lit(1)).alias("joinings"))
     leaves = t["service_records"].where(
         (F.col("service_cancelled") == 0) & (F.col("previous_experience") == 0) & (F.col("active_status") == 0)
@@ -371,7 +385,12 @@ def cells(t: Tables) -> DataFrame:
 
 def mobilisation_scorecard(t: Tables, as_of: dt.date, derive_policy: bool = False) -> DataFrame:
     """The scorecard. With `derive_policy` the declared-policy status is worked out from policies and
-    services instead of read from the upstream view."""
+    services instead of read from the upstream view.
+
+    Row sets that several indicators need are written once for the run; a caller that passes a RunScope can close it
+    when the card has been read.
+    """
+    t = RunScope.of(t)
     trained = training_needs(t).where(~text.text_in("mobilisation_cell", fixed.CELL_NAMES_WITHOUT_TRAINING))
     trained = trained.withColumn("cell_key", F.lower("mobilisation_cell"))
     documents = document_uploads(t, as_of).where("final_scope = 'IN SCOPE'")
@@ -422,5 +441,9 @@ def mobilisation_scorecard(t: Tables, as_of: dt.date, derive_policy: bool = Fals
 
 
 def write_mobilisation_scorecard(t: Tables, as_of: dt.date, path: str) -> int:
-    card = mobilisation_scorecard(t, as_of).drop("record_date")
-    return snapshots.replace_snapshot(card, path, "record_date", as_of)
+    scope = RunScope.of(t)
+    try:
+        card = mobilisation_scorecard(scope, as_of).drop("record_date")
+        return snapshots.replace_snapshot(card, path, "record_date", as_of)
+    finally:
+        scope.close()

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +37,52 @@ class Catalog(Mapping):
         return len(self._open)
 
 
+class RunScope(Mapping):
+    """The tables of one run, and the row sets that its parts share.
+
+    A shared set is written to the cluster's shared folder on first use and read from there by all later ones, so it is worked out
+    once and a lost executor loses nothing of it. `close` removes what was written; until then frames made from the sets can be read.
+    """
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self._tables, self._sets, self._spark = tables, {}, None
+        self._folder = ""
+
+    @classmethod
+    def of(cls, tables: Mapping[str, DataFrame]) -> RunScope:
+        return tables if isinstance(tables, cls) else cls(tables)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._sets:
+            rows = build()
+            if self._spark is None:
+                self._spark = rows.sparkSession
+                self._folder = shared_folder(self._spark, "run")
+            rows.write.parquet(f"{self._folder}/{name}")
+            self._sets[name] = self._spark.read.schema(rows.schema).parquet(f"{self._folder}/{name}")
+        return self._sets[name]
+
+    def close(self) -> None:
+        if self._spark is not None:
+            folder = self._spark._jvm.org.apache.hadoop.fs.Path(self._folder)
+            folder.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(folder, True)
+        self._sets, self._spark = {}, None
+
+
+def shared(tables: Mapping[str, DataFrame], name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """The row set, shared where the tables are those of a run."""
+    return tables.shared(name, build) if isinstance(tables, RunScope) else build()
+
+
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the cluster's shared checkpoint folder.
 

@@ -1,7 +1,9 @@
 """Lookups and ranks against brute force, with wide and with narrow slices and every kind of order column."""
 
 import datetime as dt
+import os
 import random
+import re
 
 import pytest
 from helpers import plan, rows, ts
@@ -202,3 +204,33 @@ def test_dates_before_the_epoch(spark):
     days = [dt.date(1969, 1, 1) + dt.timedelta(days=7 * i) for i in range(120)]
     df = spark.createDataFrame([(i, "k", d) for i, d in enumerate(days)], "id int, k string, at date")
     assert rows(ordered.running_number(df, ["k"], ["at"], "rn"), "id", "rn") == sorted(((i, i + 1) for i in range(120)), key=repr)
+
+
+def test_rank_history_of_a_hot_person_in_one_exchange(spark):
+    """Half of all rows are one person's; dates and groups repeat and may be NULL."""
+    rnd = random.Random(12)
+    data = [(i, "hot" if i % 2 else rnd.choice(["a", "b", None]), rnd.choice(["g", "h", "i", None]), rnd.choice([None, *range(0, 90, 3)])) for i in range(400)]
+    data = [(i, p, g, None if d is None else ts("2024-01-01") + dt.timedelta(hours=7 * d)) for i, p, g, d in data]
+    df = spark.createDataFrame(data, "id int, k string, g string, d timestamp_ntz")
+    out = ranks.rank_history(df, "k", "g", "d")
+    dense = lambda own, values: 1 + len({v for v in values if v is not None and (own is None or v > own)})
+    want = []
+    for i, p, g, d in data:
+        same = [r for r in data if r[1] == p]
+        want.append((i, dense(d, [r[3] for r in same if r[2] == g]), dense(d, [r[3] for r in same]), dense(g, [r[2] for r in same])))
+    assert rows(out, "id", "rank_in_group", "rank_by_date", "rank_of_group") == sorted(want, key=repr)
+    assert len(re.findall(r"Exchange hashpartitioning", plan(ranks.rank_history(df, "k", "g", "d")))) <= 6
+
+
+def test_shared_sets_are_written_once_and_removed(spark):
+    from muster.sources.tables import RunScope, shared
+
+    calls = []
+    scope = RunScope({"t": spark.range(5)})
+    build = lambda: calls.append(1) or scope["t"].where("id > 2")
+    assert [shared(scope, "few", build).count() for _ in range(3)] == [2, 2, 2] and len(calls) == 1
+    folder = scope._folder
+    assert os.path.isdir(f"{folder}/few")
+    scope.close()
+    assert not os.path.exists(folder) and RunScope.of(scope) is scope
+    assert shared({"t": 1}, "few", lambda: "built") == "built"
