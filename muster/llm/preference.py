@@ -48,6 +48,24 @@ def rivals(convs: DataFrame) -> DataFrame:
     )
 
 
+def with_other_endings(turns: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) with a rival for each conversation: it stands under twice its id, and under the id behind that with the
+    text of its last assistant turn replaced by that of the conversation whose id differs in the last bit.
+
+    One that lacks an assistant turn, or whose neighbour does, stands alone. Of several last turns of one number the greatest text
+    is handed over and all are replaced. Ids below 2^62.
+    """
+    rows = turns.where(F.col("conv_id").isNotNull()).select(
+        F.col("conv_id").cast("long").alias("conv_id"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    last = rows.where(F.col("role") == ASSISTANT).groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("said"))
+    other = last.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("said.text").alias("other"))
+    swap = last.select("conv_id", F.col("said.turn").alias("last")).join(other, "conv_id")
+    ends = (F.col("role") == ASSISTANT) & F.col("turn").eqNullSafe(F.col("last"))
+    rivals_of = rows.join(swap, "conv_id").select((F.col("conv_id") * 2 + 1).alias("conv_id"), "turn", "role", F.when(ends, F.col("other")).otherwise(F.col("text")).alias("text"))
+    return rows.withColumn("conv_id", F.col("conv_id") * 2).unionByName(rivals_of)
+
+
 def common_turns(one: Column, two: Column) -> Column:
     """Length of the longest common prefix of two arrays of turns."""
     same = F.zip_with(one, two, lambda a, b: F.coalesce((a["role"] == b["role"]) & (a["text"] == b["text"]), F.lit(False)))
@@ -83,12 +101,14 @@ def formatted(turns: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """
     convs = conversations(turns)
     pairs = rivals(convs) if pairs is None else pairs.select("chosen_id", "rejected_id")
-    both = pairs.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("c")), "chosen_id").join(
-        convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("r")), "rejected_id", "left"
-    )
+    chosen = pairs.join(convs.select(F.col("conv_id").alias("chosen_id"), F.col("turns").alias("c")), "chosen_id")
+    others = convs.select(F.col("conv_id").alias("rejected_id"), F.col("turns").alias("r"))
+    # Rows without a partner, perhaps most of them, would all meet at the NULL key of the join.
+    alone = chosen.where("rejected_id IS NULL").withColumn("r", F.lit(None).cast(others.schema["r"].dataType))
+    both = chosen.where("rejected_id IS NOT NULL").join(others, "rejected_id", "left").unionByName(alone)
     last = F.array_max(F.transform("c", lambda t, i: F.when(t["role"] == ASSISTANT, i).otherwise(-1)))
-    alone = F.when(last >= 0, last).otherwise(F.size("c"))
-    cut = both.withColumn("n", F.when(F.col("r").isNull(), alone).otherwise(common_turns(F.col("c"), F.col("r"))))
+    most = F.when(last >= 0, last).otherwise(F.size("c"))
+    cut = both.withColumn("n", F.when(F.col("r").isNull(), most).otherwise(common_turns(F.col("c"), F.col("r"))))
     rest = lambda x: F.slice(x, F.col("n") + 1, F.greatest(F.size(x) - F.col("n"), F.lit(0)))
     split = cut.select("chosen_id", "rejected_id", "n", _text(F.slice("c", F.lit(1), F.col("n"))).alias("prompt"), rest("c").alias("c"), F.when(F.col("r").isNotNull(), rest("r")).alias("r"))
     return split.select(

@@ -105,10 +105,18 @@ def _mask_sql(turns: str) -> str:
 
 
 @query("op1_preference_pairs", f"""
-WITH convs AS (
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), ending AS (
+  SELECT DISTINCT ON (conv_id) conv_id, turn AS last, text AS words FROM said WHERE role = 'assistant' ORDER BY conv_id, turn DESC NULLS LAST, text DESC
+), turns AS (
+  SELECT 2 * conv_id AS conv_id, turn, role, text FROM said
+  UNION ALL SELECT 2 * s.conv_id + 1, s.turn, s.role, CASE WHEN s.role = 'assistant' AND s.turn IS NOT DISTINCT FROM e.last THEN o.words ELSE s.text END
+  FROM said s JOIN ending e ON e.conv_id = s.conv_id JOIN ending o ON o.conv_id = xor(s.conv_id, 1)
+), convs AS (
   SELECT conv_id, list(struct_pack(role := coalesce(role, ''), text := coalesce(text, '')) ORDER BY turn, role, text) AS turns,
          coalesce(sum(len(text)) FILTER (role = 'assistant'), 0) AS said
-  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+  FROM turns GROUP BY conv_id
 ), seated AS (
   SELECT *, turns[1] AS opening, row_number() OVER (PARTITION BY turns[1] ORDER BY conv_id) - 1 AS seat FROM convs
 ), pairs AS (
@@ -125,10 +133,11 @@ WITH convs AS (
 ), parts AS (
   SELECT chosen_id, rejected_id, n, array_to_string(list_transform(c[:n], lambda t: {_TURN}), '') AS prompt, c[n + 1:] AS c, r[n + 1:] AS r FROM cut
 )
-SELECT chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, prompt, array_to_string(list_transform(c, lambda t: {_TURN}), '') AS chosen,
+SELECT chosen_id // 2 AS conv_id, chosen_id, rejected_id, CAST(n AS INTEGER) AS n_prompt_turns, prompt, array_to_string(list_transform(c, lambda t: {_TURN}), '') AS chosen,
        array_to_string(list_transform(r, lambda t: {_TURN}), '') AS rejected, {_mask_sql('c')} AS chosen_mask, {_mask_sql('r')} AS rejected_mask FROM parts
 """)
 def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = preference.formatted(read_table(spark, "conversations", sf_dir))
+    """Each conversation against itself with another's last answer; ids are doubled to name both."""
+    rows = preference.formatted(preference.with_other_endings(read_table(spark, "conversations", sf_dir)))
     spans = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias(c)
-    return rows.select("chosen_id", "rejected_id", "n_prompt_turns", "prompt", "chosen", "rejected", spans("chosen_mask"), spans("rejected_mask"))
+    return rows.select(F.expr("chosen_id div 2").alias("conv_id"), "chosen_id", "rejected_id", "n_prompt_turns", "prompt", "chosen", "rejected", spans("chosen_mask"), spans("rejected_mask"))

@@ -2,7 +2,7 @@
 
 from collections import defaultdict
 
-from muster.llm.preference import formatted
+from muster.llm.preference import formatted, with_other_endings
 
 
 def turn(role, text):
@@ -79,3 +79,19 @@ def test_given_pairs(spark):
 
 def test_empty_table(spark):
     assert formatted(frame(spark, [])).collect() == []
+
+
+def test_every_conversation_gets_a_rival(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    n = turns.select("conv_id").distinct().count()
+    pairs = formatted(with_other_endings(turns)).collect()
+    assert sum(r.rejected is not None and r.rejected_mask is not None for r in pairs) >= 0.9 * n
+    assert all(r.prompt and r.chosen != r.rejected and r.chosen_id // 2 == r.rejected_id // 2 for r in pairs if r.rejected_id is not None)
+
+
+def test_other_endings_of_defined_cases(spark):
+    rows = [(2, 0, "user", "q"), (2, 1, "assistant", "a2"), (2, 2, "user", "more"), (3, 0, None, None), (3, 5, "assistant", "a3"), (3, 5, "assistant", "b3"),
+            (4, 0, "user", "no answer"), (5, 0, "assistant", "a5"), (None, 0, "user", "x"), (8, 0, "assistant", "neighbour is missing")]
+    got = sorted(map(tuple, with_other_endings(frame(spark, rows)).collect()), key=repr)
+    own = [(2 * c, t, r or "", x or "") for c, t, r, x in rows if c is not None]
+    assert got == sorted(own + [(5, 0, "user", "q"), (5, 1, "assistant", "b3"), (5, 2, "user", "more"), (7, 0, "", ""), (7, 5, "assistant", "a2"), (7, 5, "assistant", "a2")], key=repr)
