@@ -2,7 +2,8 @@ import datetime as dt
 import pathlib
 import tempfile
 
-from helpers import rows
+import pytest
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from muster.sources import snapshots
@@ -82,5 +83,26 @@ def test_append_strict_stops_at_null(spark):
     assert rows(spark.read.parquet(path)) == [(1,), (2,), (None,)]
 
 
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("target", [(1, 5, 9), (1, None), (None,), ()])
+@pytest.mark.parametrize("batch", [(5, 6), (None,), (None, 7), (20,), ()])
+def test_append_new_agrees_with_a_whole_read(spark, strict, target, batch):
+    path = folder()
+    frame(spark, *target).write.parquet(path)
+    snapshots.append_new(frame(spark, *batch), path, "id", strict=strict)
+    unknown = strict and target and (None in target)
+    kept = [] if unknown else [i for i in batch if i not in target and (i is not None or not strict or not target)]
+    if not strict:
+        kept = [i for i in batch if i is None or i not in target]
+    assert rows(spark.read.parquet(path)) == sorted([(i,) for i in (*target, *kept)], key=repr)
+
+
+def test_append_new_reads_only_the_incoming_range(spark):
+    path = folder()
+    frame(spark, *range(100)).write.parquet(path)
+    seen = plan(snapshots.stored_keys(spark.read.parquet(path), frame(spark, 40, 50), "id"))
+    assert "GreaterThanOrEqual(id,40)" in seen and "LessThanOrEqual(id,50)" in seen
+
+
 def test_work_folder_comes_from_the_session(spark):
     assert shared_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
