@@ -18,6 +18,9 @@ null doc_id comes before all others. Any character may occur; none is reserved.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +34,16 @@ _SPACE, _BLANK = r"\x20\x09-\x0D", r"\x20\x09\x0B-\x0D"
 LINE = (
     rf"(?:[^{_SPACE}{STOPS}]*[^{_SPACE}{STOPS}{MARKS}][{_BLANK}]+){{0,{WORDS - 1}}}(?:[^{_SPACE}{STOPS}]+[{STOPS}]*|[{STOPS}]+)[{_SPACE}]*|[{_SPACE}]+"
 )
+#: The same for texts without a stop, in which a word is a run without white space: one pass, nothing tried twice.
+PLAIN = rf"(?:\S++(?<![{MARKS}])[{_BLANK}]++(?=\S)){{0,{WORDS - 1}}}+\S++\s*+|\s++"
 _WHITE = " \t\n\x0b\x0c\r"
 _DOC, _KEY = "_doc", "_key"
 
 
 def lines(text: Column) -> Column:
     """The lines of a text, which put together are the text."""
-    return F.regexp_extract_all(text, F.lit(LINE), F.lit(0))
+    stopped = reduce(or_, [F.contains(text, F.lit(c)) for c in STOPS])
+    return F.when(stopped, F.regexp_extract_all(text, F.lit(LINE), F.lit(0))).otherwise(F.regexp_extract_all(text, F.lit(PLAIN), F.lit(0)))
 
 
 def _hashed(docs: DataFrame) -> DataFrame:
