@@ -55,3 +55,33 @@ def test_defined_cases(spark):
 
 def test_empty_table(spark):
     assert scanned(spark, []).collect() == []
+
+
+def test_very_many_matches_in_one_text(spark):
+    rng = random.Random(7)
+    words = ["%016x" % rng.getrandbits(64) if k % 2 else "token=" + "%012d" % k if k % 10 == 0 else "word" * 5 for k in range(20_000)]
+    text = " ".join(words)
+    got = scanned(spark, [(1, text)]).collect()[0]
+    assert got.base == base(text)
+
+
+def test_spans_next_to_and_over_others(spark):
+    rng = random.Random(8)
+    bits = ["abcdef0123456789", "ABCDEFGHIJKLMNOPQ", "token=", "AKIA", "ABCDEF0123456789", " ", "-", "/", "."]
+    rows = [(k, "".join(rng.choice(bits) for _ in range(rng.randint(1, 12)))) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in S.scanned(docs, least=-1e9).collect()}
+    for d, text in rows:
+        named = [(s.start, s.end) for s in got[d].base]
+        runs = [(m.start(), m.end()) for m in re.finditer("[A-Za-z0-9+/_-]{16,}", text)]
+        assert [(s.start, s.end) for s in got[d].added] == [(a, z) for a, z in runs if not any(b < z and a < y for b, y in named)]
+
+
+def test_copies_change_no_ratio(spark):
+    rng = random.Random(9)
+    texts = [f"words like ordinary_names and other_identifiers {''.join(rng.choice(string.hexdigits.lower()) for _ in range(20))}" for _ in range(60)]
+    one = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    many = one.union(spark.createDataFrame([(1000 + k, texts[0]) for k in range(300)], "doc_id long, text string"))
+    secret = spark.createDataFrame([(5000, "k7Qz9XvB2mLp4RtW8sYd")], "doc_id long, text string")
+    few = S.scanned(one.union(secret), sample=10**6).where("doc_id = 5000").collect()[0].added
+    assert S.scanned(many.union(secret), sample=10**6).where("doc_id = 5000").collect()[0].added == few
