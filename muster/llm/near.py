@@ -214,7 +214,7 @@ def _rest(filed: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -
     main = rows.where("id = pivot0").select("file", F.col("component").alias("main"))
     sizes = rows.groupBy("file").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_ITEMS)).alias("blocks"))
     marked = rows.join(main.join(sizes, "file"), "file").withColumn("outside", F.col("component") != F.col("main"))
-    member = F.struct("id", "sig", "n", "component")
+    member = F.struct("id", "sig", "n", "component", "outside")
     blocks = marked.groupBy("file", F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block")).agg(
         F.collect_list(member).alias("everyone"), F.collect_list(F.when(F.col("outside"), member)).alias("outside")
     )
@@ -225,17 +225,18 @@ def _rest(filed: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -
         def columns(list_scalar):
             v = list_scalar.values
             sig = np.frombuffer(b"".join(v.field("sig").to_pylist()), np.uint16).reshape(len(v), SYMBOLS)
-            return sig, *(v.field(k).to_numpy() for k in ("id", "n", "component"))
+            return sig, *(v.field(k).to_numpy(zero_copy_only=False) for k in ("id", "n", "component", "outside"))
 
         for batch in batches:
             one, two = [], []
             for file, x, y in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                (sx, ix, nx, cx), (sy, iy, ny, cy) = columns(x), columns(y)
+                (sx, ix, nx, cx, _), (sy, iy, ny, cy, oy) = columns(x), columns(y)
                 a, b = [], []
                 for k in range(0, len(ix), 128):
                     i, j = _near(sx[k : k + 128], sy, file >> 48).T
                     i = i + k
-                    ok = (cx[i] != cy[j]) & (100 * np.minimum(nx[i], ny[j]) >= percent * np.maximum(nx[i], ny[j]))
+                    once = ~oy[j] | (ix[i] < iy[j])  # two nodes outside meet in both directions
+                    ok = once & (cx[i] != cy[j]) & (100 * np.minimum(nx[i], ny[j]) >= percent * np.maximum(nx[i], ny[j]))
                     a.append(ix[i[ok]])
                     b.append(iy[j[ok]])
                 a, b = np.concatenate(a), np.concatenate(b)
@@ -249,8 +250,31 @@ def _rest(filed: DataFrame, nodes: DataFrame, groups: DataFrame, percent: int) -
     return found.withColumn("row", F.monotonically_increasing_id())
 
 
+def _prefixes(sets: list[np.ndarray], percent: int) -> list[np.ndarray]:
+    """For each set the part of its rarest items of which similar sets share one, without the items that are in no other's part.
+
+    Items are ordered by how many of the sets hold them. Sets of n items that are similar enough share at least percent of n, so
+    one of the first n - ceil(percent of n) + 1 of either is among the other's.
+    """
+    size = np.array([len(x) for x in sets])
+    _, item, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+    owner, rank = np.repeat(np.arange(len(size)), size), rank[item]
+    rank = rank[np.lexsort((rank, owner))]
+    place = np.arange(len(rank)) - np.repeat(np.cumsum(size) - size, size)
+    first = place < np.repeat(size - (size * percent + 99) // 100 + 1, size)
+    rank, owner = rank[first], owner[first]
+    shared = np.bincount(rank)[rank] > 1
+    return np.split(rank[shared], np.cumsum(np.bincount(owner[shared], minlength=len(size)))[:-1])
+
+
 def _confirmed_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among each row's pairs, by their full sets: enough of them to join whatever the row's links join."""
+    """Links (a, b) among each row's pairs, by their full sets: enough of them to join whatever the row's links join.
+
+    Where a row has more pairs than nodes, only pairs that share one of their rarest shingles are counted, so texts that hold one long
+    passage and little else in common cost no count.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -267,12 +291,23 @@ def _confirmed_blocks(rows: DataFrame, sets: DataFrame, percent: int) -> DataFra
                     return i
 
                 a, b = a.values.to_numpy(), b.values.to_numpy()
+                part = dict(zip(items, _prefixes(list(items.values()), percent))) if len(a) > len(items) else None
+                if part:
+                    live = np.array([i for i, p in part.items() if len(p)], np.int64)
+                    may = np.isin(a, live) & np.isin(b, live)
+                    a, b = a[may], b[may]
+                if not len(a):
+                    continue
                 order = np.argsort(a, kind="stable")
                 a, b = a[order], b[order]
                 cuts = np.flatnonzero(np.diff(a, prepend=a[0] - 1))
                 for lo, hi in zip(cuts, [*cuts[1:], len(a)]):
                     i, own = int(a[lo]), items[int(a[lo])]
                     others = [j for j in b[lo:hi].tolist() if root(j) != root(i)]
+                    if part and others:
+                        long = np.array([len(part[j]) for j in others])
+                        common = np.isin(np.concatenate([part[j] for j in others]), part[i])
+                        others = [j for j, hit in zip(others, np.logical_or.reduceat(common, np.cumsum(long) - long)) if hit]
                     if not others:
                         continue
                     size = np.array([len(items[j]) for j in others])

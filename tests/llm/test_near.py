@@ -3,7 +3,9 @@
 import re
 from itertools import combinations
 
+import numpy as np
 import pytest
+from muster.llm import near
 from muster.llm.near import near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -82,3 +84,30 @@ def test_other_thresholds_stay_within_the_distance(spark, percent):
     rows = [(i, " ".join(f"w{j + (i // 2) * 1000}" for j in range(200)) + (" tail" if i % 2 else "")) for i in range(20)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert result(near_duplicates(docs, width=5, percent=percent)) == brute(rows, 5, percent)
+
+
+def _around_a_passage(n, shared=150, own=70):
+    rows = [(d, " ".join([f"s{k}" for k in range(shared)] + [f"d{d}w{k}" for k in range(own)])) for d in range(n)]
+    return rows + [(n + d, t + " tail") for d, t in rows[:5]]
+
+
+def test_texts_around_one_long_passage(spark):
+    rows = _around_a_passage(300)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert result(near_duplicates(docs, width=4)) == brute(rows)
+
+
+def test_parts_of_similar_sets_share_an_item():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 50)).astype(np.uint64)) for _ in range(150)]
+    for percent in (50, 80, 100):
+        parts = near._prefixes(sets, percent)
+        for (x, p), (y, q) in combinations(zip(sets, parts), 2):
+            both = len(np.intersect1d(x, y))
+            if 100 * both >= percent * (len(x) + len(y) - both):
+                assert len(np.intersect1d(p, q))
+
+
+def test_a_long_passage_alone_leaves_nothing_to_count():
+    sets = [np.array([*range(150), *range(1000 * k + 1000, 1000 * k + 1070)], np.uint64) for k in range(200)]
+    assert sum(len(p) for p in near._prefixes(sets, 80)) == 0
