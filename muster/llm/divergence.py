@@ -13,7 +13,8 @@ sums of J * f stay below (10^9 + V)^2, which a long holds for V up to 10^9; they
 
 Defined cases: null text, lang and source are ''. A group without terms, or of a language without kept terms, has all its pairs; with V = 0
 their value is 0. Repeated rows count as documents of their own; doc_id and extra columns are not read. An empty table gives no rows. Long
-texts are taken whole. Counts are summed within a task before they are shuffled by term, so a hot source spreads over its terms.
+texts are taken whole. Terms are told apart by their bytes, never by a hash of them. Counts are summed within a task before they are
+shuffled by term, so a hot source spreads over its terms.
 """
 
 from __future__ import annotations
@@ -34,50 +35,55 @@ HELD = 1 << 18
 _LETTERS = texts.table(bytes([*range(0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 
+def _coded(terms: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The number of each term among the distinct ones, and those: equal numbers are equal terms, no hash decides."""
+    coded = terms.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary
+
+
 class _Counts:
     """Occurrences and documents by (group, term), gathered over slices in a bounded table."""
 
     def __init__(self) -> None:
         self.parts: list[tuple] = []
         self.groups: dict[tuple[str, str], int] = {}
-        self.size = 0
+        self.size = self.folded = 0
 
     def add(self, t: texts.Texts, groups: np.ndarray) -> None:
         t.data = texts.LOWER[t.data]
         w = texts.words(t, _LETTERS)
         if not len(w.start):
             return
-        h, text = texts.ranges(texts.prefix(t.data), w.start, w.end), w.text
-        _, at, n = np.unique(texts.mix(h + texts.mix(text.astype(np.uint64))), return_index=True, return_counts=True)
-        key = texts.mix(h[at] + texts.mix(groups[text[at]].astype(np.uint64)))
-        key, first, which, docs = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
-        spot = at[first]
-        size = w.end[spot] - w.start[spot]
+        size = w.end - w.start
         off = np.concatenate([[0], np.cumsum(size)])
-        data = t.data[np.repeat(w.start[spot] - off[:-1], size) + np.arange(off[-1])]
-        terms = pa.LargeStringArray.from_buffers(len(spot), pa.py_buffer(off.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes()))
-        self.parts.append((key, groups[text[spot]], np.bincount(which, n).astype(np.int64), docs, terms))
+        data = t.data[np.repeat(w.start - off[:-1], size) + np.arange(off[-1])]
+        code, terms = _coded(pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(off.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())))
+        said, n = np.unique(w.text * len(terms) + code, return_counts=True)
+        text, code = said // len(terms), said % len(terms)
+        key, which, docs = np.unique(groups[text] * len(terms) + code, return_inverse=True, return_counts=True)
+        self.parts.append((key // len(terms), np.bincount(which, n).astype(np.int64), docs, terms.take(pa.array(key % len(terms)))))
         self.size += len(key)
-        if self.size > HELD:
+        if self.size > max(HELD, 2 * self.folded):
             self.fold()
 
     def fold(self) -> None:
-        key, group, n, docs, terms = (list(x) for x in zip(*self.parts))
-        key, at, which = np.unique(np.concatenate(key), return_index=True, return_inverse=True)
+        group, n, docs, terms = (list(x) for x in zip(*self.parts))
+        code, terms = _coded(pa.concat_arrays(terms))
+        key, which = np.unique(np.concatenate(group) * len(terms) + code, return_inverse=True)
         total = lambda x: np.bincount(which, np.concatenate(x)).astype(np.int64)
-        self.parts = [(key, np.concatenate(group)[at], total(n), total(docs), pa.concat_arrays(terms).take(pa.array(at)))]
-        self.size = len(key)
+        self.parts = [(key // len(terms), total(n), total(docs), terms.take(pa.array(key % len(terms))))]
+        self.size = self.folded = len(key)
 
     def taken(self) -> pa.RecordBatch | None:
         """All that is held, as a batch; the table is empty afterwards."""
         if not self.parts:
             return None
         self.fold()
-        _, group, n, docs, terms = self.parts[0]
+        group, n, docs, terms = self.parts[0]
         names = list(self.groups)
         column = lambda k: pa.array([x[k] for x in names], pa.string()).take(pa.array(group))
         out = pa.RecordBatch.from_arrays([column(0), column(1), terms.cast(pa.string()), pa.array(n), pa.array(docs.astype(np.int64))], names=["lang", "source", "term", "n", "docs"])
-        self.parts, self.groups, self.size = [], {}, 0
+        self.parts, self.groups, self.size, self.folded = [], {}, 0, 0
         return out
 
 

@@ -59,6 +59,16 @@ def test_defined_cases(spark):
     assert audit(spark, []) == []
 
 
+def test_terms_that_polynomial_hashes_take_for_one(spark):
+    """Thue-Morse words of 1,024 letters agree in every polynomial hash modulo 2^64."""
+    one = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    other = one.translate(str.maketrans("ab", "ba"))
+    rows = [("en", s, f"{one} {other} {other}" + " q" * k) for k, s in enumerate("aabbab")]
+    got = audit(spark, rows)
+    assert got == brute(rows)
+    assert {r[3] for r in audit(spark, [*rows, ("en", "c", "q")]) if r[2] == "term"} >= {one, other}
+
+
 def test_counts_beyond_a_long(spark):
     """Numerators are decimals: 10^9 times a count of 10^13 is exact."""
     rows = spark.createDataFrame([(10**13, 3 * 10**13 + 7, 12), (0, 5, 0)], "n long, total long, kept long")
