@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from muster.functions import dates
 from muster.operators import ordered
 
-# Day numbers are counted from 0001-01-01, so six base-16 levels span every Spark date.
+# Day numbers are counted from 0001-01-01, so six base-16 levels span every Spark date, in days and in slots of 64 days.
 _EPOCH = dt.date(1970, 1, 1)
 _EPOCH_NUMBER = _EPOCH.toordinal() - 1
 _BASE_BITS = 4
 _BASE = 2**_BASE_BITS
 _LEVELS = 6
+_SLOT_BITS = 6
 
 
 def asof_lookup(
@@ -79,8 +80,9 @@ def range_lookup(
     """Adds columns of the right row whose [start, end] contains the day of `at`; the highest `order` wins,
     then the highest `tie`. Overlapping ranges are allowed. NULL where no range contains the day.
 
-    Each range is cut into few blocks of 1, 16, 256, ... days, and each block keeps only its winner. A day
-    lies in one block per size, so it is answered by six equality probes whatever the number of ranges.
+    A range has a piece in the first and one in the last slot of 64 days it touches; what lies between is cut into blocks of 1, 16,
+    256, ... slots. Equal pieces and equal blocks keep only their winner. A day is compared with the pieces of its slot, at most
+    2,080 whatever the number of ranges, and answered by one equality probe per block size that the ranges need.
     """
     spans = right.select(
         F.col(key),
@@ -88,16 +90,25 @@ def range_lookup(
         _day_number(end).alias("_to"),
         F.struct(order.alias("_order"), F.col(tie).alias("_tie"), *_aliased(take)).alias("_hit"),
     ).where(F.col(key).isNotNull() & (F.col("_from") <= F.col("_to")))
-    blocks = _with_blocks(spans).groupBy(key, "_level", "_slot").agg(F.max("_hit").alias("_hit"))
-
-    asked = left.select(key, F.to_date(at).alias("_at")).dropna().distinct()
-    answered = (
-        asked.withColumn("_level", F.explode(_levels()))
-        .withColumn("_slot", _slot(_day_number(F.col("_at"))))
-        .join(blocks, [key, "_level", "_slot"])
-        .groupBy(key, "_at")
-        .agg(F.max("_hit").alias("_hit"))
+    asked = left.select(key, F.to_date(at).alias("_at")).dropna().distinct().withColumn("_day", _day_number(F.col("_at")))
+
+    pieces = _with_pieces(spans).groupBy(key, "_slot", "_from", "_to").agg(F.max("_hit").alias("_hit"))
+    found = (
+        asked.withColumn("_slot", F.shiftright("_day", _SLOT_BITS))
+        .join(pieces, [key, "_slot"])
+        .where(F.col("_day").between(F.col("_from"), F.col("_to")))
+        .select(key, "_at", "_hit")
     )
+    inner = spans.withColumns({
+        "_from": F.shiftright("_from", _SLOT_BITS) + 1, "_to": F.shiftright("_to", _SLOT_BITS) - 1,
+    }).where("_from <= _to")
+    levels = _levels_needed(inner.agg(F.max(F.col("_to") - F.col("_from") + 1)).first()[0])
+    if levels:
+        blocks = _with_blocks(inner, levels).groupBy(key, "_level", "_slot").agg(F.max("_hit").alias("_hit"))
+        probes = asked.withColumn("_level", F.explode(_levels(levels))).withColumn(
+            "_slot", _slot(F.shiftright("_day", _SLOT_BITS)))
+        found = found.unionByName(probes.join(blocks, [key, "_level", "_slot"]).select(key, "_at", "_hit"))
+    answered = found.groupBy(key, "_at").agg(F.max("_hit").alias("_hit"))
     return _attach(left.withColumn("_at", F.to_date(at)), answered, [key, "_at"], take).drop("_at")
 
 
@@ -183,8 +194,22 @@ def _day_number(col: Column, up: bool = False) -> Column:
     return n
 
 
-def _levels() -> Column:
-    return F.array(*[F.lit(n) for n in range(_LEVELS)])
+def _levels(count: int) -> Column:
+    return F.array(*[F.lit(n) for n in range(count)])
+
+
+def _levels_needed(widest: int | None) -> int:
+    """How many block sizes fit into the widest range; none without one."""
+    return sum(_BASE**n <= (widest or 0) for n in range(_LEVELS))
+
+
+def _with_pieces(spans: DataFrame) -> DataFrame:
+    """One row per part of a span in the first and in the last slot it touches, cut to that slot."""
+    first, last = F.shiftright("_from", _SLOT_BITS), F.shiftright("_to", _SLOT_BITS)
+    slots = F.when(first == last, F.array(first)).otherwise(F.array(first, last))
+    start = F.call_function("shiftleft", F.col("_slot"), F.lit(_SLOT_BITS))
+    cut = spans.withColumn("_slot", F.explode(slots))
+    return cut.withColumns({"_from": F.greatest("_from", start), "_to": F.least(F.col("_to"), start + (2**_SLOT_BITS - 1))})
 
 
 def _slot(number: Column, level: Column | None = None) -> Column:
@@ -197,8 +222,8 @@ def _span(first: Column, last: Column) -> Column:
     return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
 
 
-def _with_blocks(spans: DataFrame) -> DataFrame:
-    """One row per block, the blocks tiling the day numbers _from.._to exactly, largest possible first."""
+def _with_blocks(spans: DataFrame, levels: int) -> DataFrame:
+    """One row per block, the blocks tiling the numbers _from.._to exactly, largest possible first."""
 
     def whole(level: Column) -> tuple[Column, Column]:
         """First and last block of a size that lie wholly inside the span."""
@@ -208,7 +233,7 @@ def _with_blocks(spans: DataFrame) -> DataFrame:
     level = F.col("_level")
     first, last = whole(level)
     outer_first, outer_last = whole(level + 1)
-    sized = spans.withColumn("_level", F.explode(_levels())).withColumns(
+    sized = spans.withColumn("_level", F.explode(_levels(levels))).withColumns(
         {"_first": first, "_last": last, "_outer_first": outer_first, "_outer_last": outer_last}
     )
     # Days covered by larger blocks are left out: only the margins on either side remain at this size.

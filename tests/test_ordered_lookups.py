@@ -45,6 +45,17 @@ def test_asof_matches_brute_force(spark, width):
     assert "NestedLoop" not in plan(got) and "Cartesian" not in plan(got)
 
 
+def test_a_range_takes_few_rows(spark):
+    """The two ends and few blocks of whole slots, which tile the range; a block size that no range needs is not probed."""
+    spans = spark.createDataFrame([(1, 700_003, 700_093), (2, 700_003, 703_500), (3, 700_010, 700_010)], "r int, _from int, _to int")
+    pieces = {(x.r, x._from, x._to) for x in lookups._with_pieces(spans).collect()}
+    assert pieces == {(1, 700_003, 700_031), (1, 700_032, 700_093), (2, 700_003, 700_031), (2, 703_488, 703_500), (3, 700_010, 700_010)}
+    inner = spans.selectExpr("r", "(_from >> 6) + 1 AS _from", "(_to >> 6) - 1 AS _to").where("_from <= _to")
+    blocks = [(x._slot << 4 * x._level, (x._slot + 1) << 4 * x._level) for x in lookups._with_blocks(inner, 2).collect()]
+    assert sorted(s for a, b in blocks for s in range(a, b)) == [*range(10_938, 10_992)] and len(blocks) < 54
+    assert [lookups._levels_needed(n) for n in (None, 0, 1, 15, 16, 4096)] == [0, 0, 1, 1, 2, 4]
+
+
 def test_asof_by_day_settles_ties_by_highest(spark):
     left = spark.createDataFrame([(1, "a", ts("2022-01-02T08:00:00"))], "id int, k string, at timestamp_ntz")
     right = spark.createDataFrame(
