@@ -95,21 +95,21 @@ def recruitment_card_stored(t: Catalog) -> DataFrame:
 
 
 @query("mobilisation_scorecard", check.mobilisation_card())
-def mobilisation_card(t: Catalog) -> DataFrame:
-    return mobilisation.mobilisation_scorecard(t, RUN_DATE)
+def mobilisation_card(t: Domain) -> DataFrame:
+    return mobilisation.mobilisation_scorecard(t.run(), RUN_DATE)
 
 
 @query("mobilisation_scorecard_stored", check.mobilisation_card())
-def mobilisation_card_stored(t: Catalog) -> DataFrame:
+def mobilisation_card_stored(t: Domain) -> DataFrame:
     spark = t["orders"].sparkSession
     path = shared_folder(spark, "mobilisation")
-    mobilisation.write_mobilisation_scorecard(t, RUN_DATE, path)
+    mobilisation.write_mobilisation_scorecard(t.run(), RUN_DATE, path)
     return spark.read.parquet(path)
 
 
 @query("mobilisation_scorecard_derived_policy", check.mobilisation_card("f_declared"))
-def mobilisation_card_derived(t: Catalog) -> DataFrame:
-    return mobilisation.mobilisation_scorecard(t, RUN_DATE, derive_policy=True)
+def mobilisation_card_derived(t: Domain) -> DataFrame:
+    return mobilisation.mobilisation_scorecard(t.run(), RUN_DATE, derive_policy=True)
 
 
 def _family(family: str, columns: str, fn) -> None:
